@@ -42,6 +42,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """df without columns whose names an operator uses for its own: those that it adds take their place."""
+    return df.drop(*[c for c in df.columns if c.lower() in names])
+
+
 def ascii_lower(column: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
     return F.translate(column, UPPER, LOWER)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import read_table, stored
+from .common import read_table, stored, without
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -147,6 +147,7 @@ def blocks_of(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -
 def search(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", block_bytes: int = 4 << 20) -> DataFrame:
     """docs with the added columns _n_words, _n_hit, _items (sorted ids as strings), _contaminated, _ranges."""
     spark = docs.sparkSession
+    docs = without(docs, "_n_words", "_ranges", "_items", "_n_hit", "_contaminated")
     out = docs.select("*", F.lit(0).cast("long").alias("_n_words"), F.array().cast("array<long>").alias("_ranges"), F.array().cast("array<string>").alias("_items"))
     blocks = blocks_of(benchmark, item_id, item_text, block_bytes)
     for k, items in enumerate(blocks):

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import read_table
+from .common import read_table, without
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -119,6 +119,7 @@ def held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
     """A model from the rows that are not held out. Only features, at most 8 kB a row, reach the driver."""
+    docs = docs.select(doc_id, text, lang)
     known = docs.where(~held_out(F.col(doc_id)) & F.col(lang).isNotNull() & F.col(text).isNotNull())
     counts = known.groupBy(F.col(lang).alias("_lang")).agg(F.count("*").alias("_n"))
     draw = F.pmod(F.xxhash64(F.lit("sample"), F.col(doc_id).cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
@@ -142,6 +143,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         model_ = Model(*shared.value)
         return pd.DataFrame([decode(model_, t) for t in texts], columns=["lang", "score", "ambiguous"])
 
+    docs = without(docs, "_p", "_lang_pred", "_score", "_ambiguous")
     out = docs.withColumn("_p", predict(F.col(text)))
     return out.select(*docs.columns, F.col("_p.lang").alias("_lang_pred"), F.col("_p.score").alias("_score"), F.col("_p.ambiguous").alias("_ambiguous"))
 

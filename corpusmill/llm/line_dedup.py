@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, lookup, read_table, stored
+from .common import ascii_lower, lookup, read_table, stored, without
 
 BLANKS = "\t\n\x0b\x0c\r "
 #: Frequent keys looked up in an array literal of so many buckets, as long as there are no more than MAX_LITERAL of them.
@@ -77,6 +77,7 @@ def build_runs(docs: DataFrame, text: str = "text", min_docs: int = 10, batches:
 
 def clean(docs: DataFrame, text: str = "text", min_docs: int = 10, batches: int = 3) -> DataFrame:
     """docs with the added columns _kept (text), _n_lines, _n_dropped."""
+    docs = without(docs, "_kept", "_n_lines", "_n_dropped", "_pairs", "_keep", "_row", "_gone")
     runs = build_runs(docs.select(text), text, min_docs, batches)
     frequent = stored(runs.frequent(), "lines-frequent")
     n, most = frequent.agg(F.count("*"), F.max("n")).first()

@@ -24,7 +24,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lookup, read_table, scratch_path, stored
+from .common import lookup, read_table, scratch_path, stored, without
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -112,6 +112,7 @@ def payload(html: str) -> Column:
 
 def with_revisits(pages: DataFrame, page_id: str = "page_id", html: str = "html", min_revisit: int = MIN_REVISIT) -> DataFrame:
     """pages with the added columns _refers_to and _revisit."""
+    pages = without(pages, "_bytes", "_key", "_last", "_n", "_refers_to", "_revisit")
     keyed = pages.select("*", F.octet_length(payload(html)).cast("long").alias("_bytes"), F.sha2(payload(html), 256).alias("_key"))
     large = keyed.where(F.col("_bytes") >= min_revisit).groupBy("_key").agg(F.max(page_id).alias("_last"), F.count("*").alias("_n")).where("_n > 1")
     found = lookup(keyed, stored(large, "warc-equal"), "_key", "_n")
