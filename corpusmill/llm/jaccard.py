@@ -2,17 +2,17 @@
 
 A document's set is its distinct word shingles, as 64-bit hashes. Two sets with Jaccard similarity >= 3/4 miss at most a quarter
 of either set, so with all shingles in one global order (rare ones first, by hash; then the frequent ones, by their counts)
-the first k + c shingles of both, k = size // 4, have at least c in common.
+the first k + c shingles of both, k = size // 4, have at least c in common, for any c that the sets have room for.
 
 * Light sets enumerate the fixed-size subsets, here all pairs, of their first k + 2 shingles as keys.
-* Heavy sets, beyond a boundary size, scan the inverted lists of their first k + 1 shingles; light sets large enough to match a
-  heavy one enter those lists as well.
+* Heavy sets, beyond a boundary size, scan the inverted lists of their first k + c shingles, c = 1 + size // 16, and must meet
+  a set in as many lists as the smaller c of both; light sets large enough to match a heavy one enter those lists as well.
 * The boundary is where the estimated cost is least: the number of subsets against list entries times the mean length of a list.
 
 Sets that are equal are one class, known by a hash, before anything is joined. In a key's list, two classes are candidates only
 if their sizes and the positions of the key leave room for the similarity. Short lists give all their candidates. A long list
-gives each class's next few neighbours first; after these are verified and linked into components, the list's classes that are
-still in different components give the rest. So large groups of near copies never emit all pairs, and no link that could
+counts each class's next few neighbours first; after the candidates are verified and linked into components, the list's classes
+that are still in different components count in full, and give the rest. So large groups of near copies never emit all pairs, and no link that could
 join two components is left out. Candidates are verified exactly on the sets.
 
 Defined results: null or empty text, or text of blanks, has an empty set and links with nothing; rows with equal texts are linked;
@@ -42,6 +42,8 @@ TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in
 FREQUENT, MOST = 32, 1 << 17
 #: A list of at most LIST classes gives all candidates, a longer one first the NEIGHBOURS next ones of each class.
 LIST, NEIGHBOURS = 16, 3
+#: Set in the place of a light key.
+LIGHT = 1 << 31
 #: Candidate classes that are broadcast as a sorted array, to keep other sets from being shuffled.
 PREFILTER = 1 << 20
 #: Boundaries that are tried.
@@ -52,7 +54,7 @@ class _Hashes(dict):
     """Hash of each word, kept for a while."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -95,7 +97,7 @@ def _describe(kind: pa.DataType):
                 ns.append(len(s))
                 fps.append(fingerprint(s) if len(s) else None)
                 if len(s) > 1 and fps[-1] not in seen:
-                    if len(seen) > 1_000_000:
+                    if len(seen) > 500_000:
                         seen.clear()
                     seen.add(fps[-1])
                     sets.append(s)
@@ -131,7 +133,7 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _keys(shared, boundary: int):
-    """Rows key, fp, place (size and position of the key), for each class once in a task."""
+    """Rows key, fp, place (size, whether a light key, and position of the key), for each class once in a task."""
 
     def run(batches):
         hot, rank = shared.value
@@ -147,18 +149,18 @@ def _keys(shared, boundary: int):
                 fp = fingerprint(s)
                 if fp in seen:
                     continue
-                if len(seen) > 1_000_000:
+                if len(seen) > 500_000:
                     seen.clear()
                 seen.add(fp)
-                k = n // 4
-                first = _ordered(s, hot, rank, k + 2)
+                k, c = n // 4, 1 + n // 16
+                first = _ordered(s, hot, rank, k + max(2, c))
                 if n <= boundary:
-                    a, b = pairs[len(first)]
+                    a, b = pairs[k + 2]
                     keys.append(_mixed(first[a], first[b]))
-                    places.append((n << 32) + a)
+                    places.append((n << 32) + LIGHT + a)
                 if 4 * n > 3 * boundary:
-                    keys.append(first[: k + 1])
-                    places.append((n << 32) + np.arange(min(k + 1, len(first))))
+                    keys.append(first[: k + c])
+                    places.append((n << 32) + np.arange(k + c))
                 fps.append(np.full(len(keys[-1]) + (len(keys[-2]) if n <= boundary and 4 * n > 3 * boundary else 0), fp, np.int64))
             if keys:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(fps)), pa.array(np.concatenate(places).astype(np.int64))], names=["key", "fp", "place"])
@@ -166,14 +168,21 @@ def _keys(shared, boundary: int):
     return run
 
 
+def _needed(pa_, pb):
+    """In how many lists the two must meet."""
+    return 1 + np.minimum(pa_ >> 32, pb >> 32) // 16
+
+
 def _room(pa_: np.ndarray, pb: np.ndarray) -> np.ndarray:
-    """Whether the sizes and the places of a shared key allow a similarity of 3/4: the key may be the first one in common."""
-    na, nb, ia, ib = pa_ >> 32, pb >> 32, pa_ & 0xFFFFFFFF, pb & 0xFFFFFFFF
-    return 7 * np.minimum(na - ia, nb - ib) >= 3 * (na + nb)
+    """Whether the sizes and the places of a shared key allow a similarity of 3/4, the key being among the first needed ones."""
+    na, nb, ia, ib = pa_ >> 32, pb >> 32, pa_ & (LIGHT - 1), pb & (LIGHT - 1)
+    spare = np.where(pa_ & LIGHT, 0, _needed(pa_, pb) - 1)
+    return 7 * (np.minimum(na - ia, nb - ib) + spare) >= 3 * (na + nb)
 
 
 def _lists(batches):
-    """Sorted rows of keys in, candidates (kind 0: a, b) and rows of long lists (kind 1: a = key, b = fp, place) out."""
+    """Sorted rows of keys in; meetings (kind 0: a, b, their weight, place = the weight needed) and rows of long lists (kind 1: a =
+    key, b = fp, place) out. A light key alone is enough."""
     held = np.zeros((3, 0), np.int64)
     done = 0  # rows of held that were centers already
     look = LIST + 1
@@ -198,12 +207,12 @@ def _lists(batches):
                     break
                 continue
             i = i[_room(place[i], place[i + d])]
-            out.append(np.stack([np.minimum(fp[i], fp[i + d]), np.maximum(fp[i], fp[i + d])], 1))
-        pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+            out.append(np.stack([np.minimum(fp[i], fp[i + d]), np.maximum(fp[i], fp[i + d]), _needed(place[i], place[i + d]), place[i] & LIGHT], 1))
+        pairs, count = np.unique(np.concatenate(out), axis=0, return_counts=True) if out else (np.zeros((0, 4), np.int64), np.zeros(0, np.int64))
         rows = np.arange(start, stop)[long[start:stop]]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([np.zeros(len(pairs), np.int8), np.ones(len(rows), np.int8)])), pa.array(np.concatenate([pairs[:, 0], key[rows]])), pa.array(np.concatenate([pairs[:, 1], fp[rows]])), pa.array(np.concatenate([np.zeros(len(pairs), np.int64), place[rows]]))],
-            names=["kind", "a", "b", "place"],
+            [pa.array(np.concatenate([np.zeros(len(pairs), np.int8), np.ones(len(rows), np.int8)])), pa.array(np.concatenate([pairs[:, 0], key[rows]])), pa.array(np.concatenate([pairs[:, 1], fp[rows]])), pa.array(np.concatenate([pairs[:, 2], place[rows]])), pa.array(np.concatenate([np.where(pairs[:, 3] > 0, LIGHT, count), np.zeros(len(rows), np.int64)]))],
+            names=["kind", "a", "b", "place", "weight"],
         )
 
     for batch in batches:
@@ -233,7 +242,7 @@ def _sets(shared):
                 fp = fingerprint(s)
                 if fp in seen or (wanted is not None and not (len(wanted) and wanted[min(np.searchsorted(wanted, fp), len(wanted) - 1)] == fp)):
                     continue
-                if len(seen) > 1_000_000:
+                if len(seen) > 500_000:
                     seen.clear()
                 seen.add(fp)
                 fps.append(fp)
@@ -296,9 +305,9 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     total, weighted = sum(c * n for n, c in sizes), sum(float(r.n) * r.n for r in frequent)
     boundary = boundary_of(sizes, 1 + weighted / max(1, total))
     keys = texts.mapInArrow(_keys(shared, boundary), "key long, fp long, place long")
-    listed = stored(keys.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_lists, "kind tinyint, a long, b long, place long"), "jaccard-lists")
-    pairs = stored(listed.where("kind = 0").select("a", "b").distinct(), "jaccard-pairs")
-    links = verified(texts, pairs)
+    listed = stored(keys.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_lists, "kind tinyint, a long, b long, place long, weight long"), "jaccard-lists")
+    met = stored(listed.where("kind = 0").groupBy("a", "b").agg(F.sum("weight").alias("weight"), F.max("place").alias("needed")), "jaccard-met")
+    links = verified(texts, met.where("weight >= needed").select("a", "b"))
     long = listed.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("fp"), "place").distinct()
     found = components(links, "jaccard-edges")
     if long.limit(1).count():
@@ -310,10 +319,17 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
         rest = stored(lookup(known, stored(open_, "jaccard-open"), "key", "n", "left_semi"), "jaccard-rest")
         x, y = rest.alias("x"), rest.alias("y")
         size_x, size_y = F.shiftright("x.place", 32), F.shiftright("y.place", 32)
-        at_x, at_y = F.col("x.place").bitwiseAND(0xFFFFFFFF), F.col("y.place").bitwiseAND(0xFFFFFFFF)
-        room = 7 * F.least(size_x - at_x, size_y - at_y) >= 3 * (size_x + size_y)
-        more = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.fp") < F.col("y.fp")) & (F.col("x.component") != F.col("y.component")) & room)
-        more = stored(more.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"), "jaccard-more")
+        at_x, at_y = F.col("x.place").bitwiseAND(LIGHT - 1), F.col("y.place").bitwiseAND(LIGHT - 1)
+        light = F.col("x.place").bitwiseAND(LIGHT) > 0
+        needed = F.lit(1) + F.floor(F.least(size_x, size_y) / 16)
+        room = 7 * (F.least(size_x - at_x, size_y - at_y) + F.when(light, 0).otherwise(needed - 1)) >= 3 * (size_x + size_y)
+        again = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.fp") < F.col("y.fp")) & (F.col("x.component") != F.col("y.component")) & room)
+        again = again.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"), needed.alias("needed"), F.when(light, LIGHT).otherwise(1).alias("weight"))
+        again = again.groupBy("a", "b").agg(F.sum("weight").alias("more"), F.max("needed").alias("needed"))
+        short = met.select("a", "b", "weight")
+        # the lists that were counted before may count twice; that only adds candidates
+        open_pairs = again.join(short, ["a", "b"], "left").where("coalesce(weight, 0) < needed and more + coalesce(weight, 0) >= needed")
+        more = stored(open_pairs.select("a", "b"), "jaccard-more")
         if more.limit(1).count():
             extra = verified(texts, more)
             if extra.limit(1).count():
