@@ -128,10 +128,10 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     def featured(batches):
         for p in batches:
             p = p[[bool(LETTER.search(t)) for t in p["text"]]] if len(p) else p
-            yield pd.DataFrame({"lang": p["lang"], "id": p["id"], "f": [features(t).astype(np.int32) for t in p["text"]]})
+            yield pd.DataFrame({"lang": p["lang"], "id": p["id"], "f": pd.Series([features(t).astype(np.int32).tobytes() for t in p["text"]], index=p.index, dtype=object)})
 
-    rows = chosen.select(F.col(lang).cast("string").alias("lang"), F.col(doc_id).cast("string").alias("id"), F.col(text).alias("text")).mapInPandas(featured, "lang string, id string, f array<int>").collect()
-    return fit([(r.lang, np.array(r.f, np.int64)) for r in sorted(rows, key=lambda r: (r.lang, r.id or "", len(r.f), r.f[:9]))])
+    rows = chosen.select(F.col(lang).cast("string").alias("lang"), F.col(doc_id).cast("string").alias("id"), F.col(text).alias("text")).mapInPandas(featured, "lang string, id string, f binary").collect()
+    return fit([(r.lang, np.frombuffer(r.f, np.int32)) for r in sorted(rows, key=lambda r: (r.lang, r.id or "", bytes(r.f)))])
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
