@@ -71,13 +71,13 @@ def lookup(left: DataFrame, table: DataFrame, on: str, weight: str, how: str = "
     return left.join(hot, on, "inner").unionByName(left.join(hot.select(on), on, "left_anti").join(rest, on, how))
 
 
-def components(edges: DataFrame, label: str) -> DataFrame:
-    """Connected components of edges (a, b: bigint) by alternating large-star and small-star steps, each written in the shared
-    folder. Returns node, component (its least node), for every node that has an edge to another one."""
+def star(edges: DataFrame, label: str, steps: int | None = None) -> DataFrame:
+    """Edges (a, b: bigint) contracted by alternating large-star and small-star steps, each written in the shared folder: at most
+    `steps` of both, or until each node a of a component has one edge, to its least node b. Edges found later can be added."""
     now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
-    before = None
-    while (mark := tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())) != before:
-        before = mark
+    before, done = None, 0
+    while done != steps and (mark := tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())) != before:
+        before, done = mark, done + 1
         for large in (True, False):
             both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else now
             least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n")), label)
@@ -86,4 +86,10 @@ def components(edges: DataFrame, label: str) -> DataFrame:
             if not large:
                 out = linked.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
             now = stored(out.where("a <> b").distinct(), label)
+    return now
+
+
+def components(edges: DataFrame, label: str) -> DataFrame:
+    """Connected components of edges (a, b: bigint): node, component (its least node), for every node that has an edge to another one."""
+    now = star(edges, label)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -11,9 +11,10 @@ the first k + c shingles of both, k = size // 4, have at least c in common, for
 
 Sets that are equal are one class, known by a hash, before anything is joined. In a key's list, two classes are candidates only
 if their sizes and the positions of the key leave room for the similarity. Short lists give all their candidates. A long list
-counts each class's next few neighbours first; after the candidates are verified and linked into components, the list's classes
-that are still in different components count in full, and give the rest. So large groups of near copies never emit all pairs, and no link that could
-join two components is left out. Candidates are verified exactly on the sets.
+counts each class's next few neighbours first; after these are verified and linked into components, its classes meet a few hubs of
+the list for some rounds, which links most of a large group. The classes that are then still in different components count in full,
+and give the rest, but for those whose signatures differ too much for the similarity. So large groups of near copies never emit all
+pairs, and no link that could join two components is left out. Candidates are verified exactly on the sets.
 
 Defined results: null or empty text, or text of blanks, has an empty set and links with nothing; rows with equal texts are linked;
 a null doc_id has itself as component unless it is linked with others; an empty table gives an empty result.
@@ -31,7 +32,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, lookup, read_table, stored
+from .common import components, lookup, read_table, star, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -42,6 +43,13 @@ TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in
 FREQUENT, MOST = 32, 1 << 17
 #: A list of at most LIST classes gives all candidates, a longer one first the NEIGHBOURS next ones of each class.
 LIST, NEIGHBOURS = 16, 3
+#: Rounds in which each entry of a long list meets two hubs of it only, and steps towards components between them.
+ROUNDS, STEPS = 3, 2
+#: Words of a signature: bit i is the parity of the number of shingles that are i modulo 64 * SIGNATURE.
+SIGNATURE = 8
+SIGNS = [f"s{i}" for i in range(SIGNATURE)]
+#: Sum of the sizes from which on signatures tell nothing.
+TELLING = 7 * 16 * SIGNATURE
 #: Set in the place of a light key.
 LIGHT = 1 << 31
 #: Candidate classes that are broadcast as a sorted array, to keep other sets from being shuffled.
@@ -80,6 +88,11 @@ def fingerprint(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
 
+def signature(s: np.ndarray) -> np.ndarray:
+    odd = np.bincount((s & np.uint64(64 * SIGNATURE - 1)).astype(np.int64), minlength=64 * SIGNATURE) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _raw(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(name).cast(pa.binary()).to_pylist()
 
@@ -228,13 +241,13 @@ def _lists(batches):
 
 
 def _sets(shared):
-    """fp, shingles of the classes that are wanted (all without a list), each once in a task."""
+    """fp, shingles and signature of the classes that are wanted (all without a list), each once in a task."""
 
     def run(batches):
         wanted = shared.value if shared else None
         hashes, seen = _Hashes(), set()
         for batch in batches:
-            fps, sets = [], []
+            fps, sets, signs = [], [], np.zeros((batch.num_rows, SIGNATURE), np.int64)
             for raw in _raw(batch, "text"):
                 s = shingles(raw, hashes)
                 if len(s) < 2:
@@ -245,9 +258,10 @@ def _sets(shared):
                 if len(seen) > 500_000:
                     seen.clear()
                 seen.add(fp)
+                signs[len(fps)] = signature(s)
                 fps.append(fp)
                 sets.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), pa.array(sets, pa.binary())], names=["fp", "bin"])
+            yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), pa.array(sets, pa.binary()), *map(pa.array, signs[: len(fps)].T.copy())], names=["fp", "bin", *SIGNS])
 
     return run
 
@@ -262,20 +276,59 @@ def _verify(batches):
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
-def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The stored pairs (a, b) whose sets are similar."""
-    spark = pairs.sparkSession
-    wanted = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
-    shared = None
-    wanted = stored(wanted, "jaccard-wanted")
+def sets_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """fp, bin (its shingles), signature of each class in wanted (fp), stored."""
+    spark = texts.sparkSession
+    shared, wanted = None, stored(wanted.distinct(), "jaccard-wanted")
     if wanted.count() <= PREFILTER:
         shared = spark.sparkContext.broadcast(np.sort(np.array([r.fp for r in wanted.toLocalIterator()], np.int64)))
-    sets = texts.mapInArrow(_sets(shared), "fp long, bin binary").groupBy("fp").agg(F.first("bin").alias("bin"))
-    sets = stored(sets, "jaccard-sets")
+    return stored(texts.mapInArrow(_sets(shared), f"fp long, bin binary, {', '.join(f'{c} long' for c in SIGNS)}").groupBy("fp").agg(*[F.first(c).alias(c) for c in ("bin", *SIGNS)]), "jaccard-sets")
+
+
+def verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets are similar."""
     joined = pairs.join(sets.select(F.col("fp").alias("a"), F.col("bin").alias("x")), "a").join(sets.select(F.col("fp").alias("b"), F.col("bin").alias("y")), "b")
     return stored(joined.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long"), "jaccard-links")
 
 
+def _room_of(x: str, y: str) -> tuple:
+    """For entries x and y of a list: whether places and signatures leave room for the similarity, in how many lists they must meet,
+    the weight of this one, and whether signatures can tell such sizes apart.
+
+    Sets of that similarity differ in at most a seventh of their sizes' sum, and signatures in no more bits than sets in shingles.
+    """
+    size_x, size_y = F.shiftright(f"{x}place", 32), F.shiftright(f"{y}place", 32)
+    at_x, at_y = F.col(f"{x}place").bitwiseAND(LIGHT - 1), F.col(f"{y}place").bitwiseAND(LIGHT - 1)
+    light = F.col(f"{x}place").bitwiseAND(LIGHT) > 0
+    needed = F.lit(1) + F.floor(F.least(size_x, size_y) / 16)
+    bits = sum((F.bit_count(F.col(x + c).bitwiseXOR(F.col(y + c))) for c in SIGNS[1:]), F.bit_count(F.col(x + SIGNS[0]).bitwiseXOR(F.col(y + SIGNS[0]))))
+    room = (7 * (F.least(size_x - at_x, size_y - at_y) + F.when(light, 0).otherwise(needed - 1)) >= 3 * (size_x + size_y)) & (7 * bits <= size_x + size_y)
+    return room, needed, F.when(light, LIGHT).otherwise(1), size_x + size_y < TELLING
+
+
+def _open(long: DataFrame, forest: DataFrame, turn: int) -> DataFrame:
+    """The entries of long lists that hold several components (key, fp, place, signature, component), with two hubs of their list:
+    members of its largest component (p) and of all (r). In the first turn these are the same for most lists, later they differ."""
+    label = stored(forest.groupBy(F.col("a").alias("fp")).agg(F.min("b").alias("component"), F.lit(1).alias("n")), "jaccard-known")
+    known = lookup(long, label, "fp", "n").withColumn("component", F.coalesce("component", "fp"))
+    rank = F.xxhash64(F.lit(turn), "key", "fp") if turn else F.xxhash64("fp")
+    hub = F.struct(rank.alias("rank"), "fp", "place", "component", *SIGNS)
+    parts = known.groupBy("key", "component").agg(F.count("*").alias("c"), F.max(hub).alias("hub"))
+    lists = parts.groupBy("key").agg(F.sum("c").alias("n"), F.count("*").alias("m"), F.max_by("hub", F.struct("c", "hub")).alias("p"), F.max("hub").alias("r"))
+    return lookup(known, stored(lists.where("m > 1").drop("m"), "jaccard-open"), "key", "n", "inner", 50_000)
+
+
+def _at_hubs(rest: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of a class and a hub: those that meet in enough lists, or, after the first turn, whose signatures are near."""
+    met = []
+    for hub in ("p", "r"):
+        room, needed, weight, telling = _room_of("", f"{hub}.")
+        pair = F.struct(F.least("fp", f"{hub}.fp").alias("a"), F.greatest("fp", f"{hub}.fp").alias("b"), needed.alias("needed"), F.when(telling & F.lit(turn > 0), LIGHT).otherwise(weight).alias("weight"))
+        met.append(F.when((F.col("component") != F.col(f"{hub}.component")) & room, pair))
+    met = rest.select(F.explode(F.array_compact(F.array(*met))).alias("met")).select("met.*")
+    return met.groupBy("a", "b").agg(F.sum("weight").alias("weight"), F.max("needed").alias("needed")).where("weight >= needed").select("a", "b")
+
+
 def boundary_of(sizes: list[tuple[int, int]], list_length: float) -> int:
     """The size up to which sets are light: sizes are (size, number of classes)."""
 
@@ -307,34 +360,27 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     keys = texts.mapInArrow(_keys(shared, boundary), "key long, fp long, place long")
     listed = stored(keys.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_lists, "kind tinyint, a long, b long, place long, weight long"), "jaccard-lists")
     met = stored(listed.where("kind = 0").groupBy("a", "b").agg(F.sum("weight").alias("weight"), F.max("place").alias("needed")), "jaccard-met")
-    links = verified(texts, met.where("weight >= needed").select("a", "b"))
-    long = listed.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("fp"), "place").distinct()
-    found = components(links, "jaccard-edges")
+    long = stored(listed.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("fp"), "place").distinct(), "jaccard-long")
+    pairs = met.where("weight >= needed").select("a", "b")
+    sets = sets_of(texts, pairs.select(F.explode(F.array("a", "b")).alias("fp")).unionByName(long.select("fp")))
+    forest = verified(sets, pairs)
     if long.limit(1).count():
-        # what is left of the long lists: their classes in different components
-        sized = found.select(F.col("node").alias("fp"), "component", F.lit(1).alias("n"))
-        known = lookup(long, stored(sized, "jaccard-known"), "fp", "n").select("key", "fp", "place", F.coalesce("component", "fp").alias("component"))
-        known = stored(known, "jaccard-long")
-        open_ = known.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low <> high").select("key", "n")
-        rest = stored(lookup(known, stored(open_, "jaccard-open"), "key", "n", "left_semi"), "jaccard-rest")
+        long = stored(long.join(sets.select("fp", *SIGNS), "fp"), "jaccard-signed")
+        # most classes of a long list are linked through a few; what is then still apart is compared in full
+        for turn in range(ROUNDS):
+            forest = star(forest, "jaccard-edges", STEPS)
+            forest = forest.unionByName(verified(sets, stored(_at_hubs(_open(long, forest, turn), turn), "jaccard-more")))
+        forest = star(forest, "jaccard-edges")
+        rest = stored(_open(long, forest, ROUNDS).drop("p", "r", "n"), "jaccard-rest")
         x, y = rest.alias("x"), rest.alias("y")
-        size_x, size_y = F.shiftright("x.place", 32), F.shiftright("y.place", 32)
-        at_x, at_y = F.col("x.place").bitwiseAND(LIGHT - 1), F.col("y.place").bitwiseAND(LIGHT - 1)
-        light = F.col("x.place").bitwiseAND(LIGHT) > 0
-        needed = F.lit(1) + F.floor(F.least(size_x, size_y) / 16)
-        room = 7 * (F.least(size_x - at_x, size_y - at_y) + F.when(light, 0).otherwise(needed - 1)) >= 3 * (size_x + size_y)
+        room, needed, weight, _ = _room_of("x.", "y.")
         again = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.fp") < F.col("y.fp")) & (F.col("x.component") != F.col("y.component")) & room)
-        again = again.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"), needed.alias("needed"), F.when(light, LIGHT).otherwise(1).alias("weight"))
+        again = again.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"), needed.alias("needed"), weight.alias("weight"))
         again = again.groupBy("a", "b").agg(F.sum("weight").alias("more"), F.max("needed").alias("needed"))
-        short = met.select("a", "b", "weight")
         # the lists that were counted before may count twice; that only adds candidates
-        open_pairs = again.join(short, ["a", "b"], "left").where("coalesce(weight, 0) < needed and more + coalesce(weight, 0) >= needed")
-        more = stored(open_pairs.select("a", "b"), "jaccard-more")
-        if more.limit(1).count():
-            extra = verified(texts, more)
-            if extra.limit(1).count():
-                links = links.unionByName(extra)
-                found = components(links, "jaccard-edges")
+        open_pairs = again.join(met.select("a", "b", "weight"), ["a", "b"], "left").where("coalesce(weight, 0) < needed and more + coalesce(weight, 0) >= needed")
+        forest = forest.unionByName(verified(sets, stored(open_pairs.select("a", "b"), "jaccard-more")))
+    found = components(forest, "jaccard-edges")
     classes = rows.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     joined = stored(classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp")), "jaccard-classes")
     lowest = joined.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("m"))
