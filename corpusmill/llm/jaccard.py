@@ -286,7 +286,9 @@ def sets_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar."""
+    """The stored pairs (a, b) whose sets are similar. Only the sets that they name are shuffled."""
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("fp")).groupBy("fp").agg(F.lit(1).alias("n")), "jaccard-named")
+    sets = lookup(sets.select("fp", "bin"), wanted, "fp", "n", "left_semi")
     joined = pairs.join(sets.select(F.col("fp").alias("a"), F.col("bin").alias("x")), "a").join(sets.select(F.col("fp").alias("b"), F.col("bin").alias("y")), "b")
     return stored(joined.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long"), "jaccard-links")
 
