@@ -32,7 +32,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, lookup, read_table, star, stored
+from .common import arrow_batches, components, lookup, read_table, star, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -54,6 +54,8 @@ TELLING = 7 * 16 * SIGNATURE
 LIGHT = 1 << 31
 #: Candidate classes that are broadcast as a sorted array, to keep other sets from being shuffled.
 PREFILTER = 1 << 20
+#: Bytes of texts or sets that a task hands to Python at once, and shingles that it counts at once.
+BATCH, COUNTED = "8m", 1 << 22
 #: Boundaries that are tried.
 LIMITS = (0, 4, 8, 12, 16, 20, 24, 32, 40, 48, 64)
 
@@ -98,13 +100,19 @@ def _raw(batch: pa.RecordBatch, name: str) -> list:
 
 
 def _describe(kind: pa.DataType):
-    """Rows (kind 0) of doc_id, n, fp, and (kind 1) the shingles that occur in more than one class of a batch, with their number."""
+    """Rows (kind 0) of doc_id, n, fp, and (kind 1) the shingles that occur in more than one class of about COUNTED shingles, with their number."""
+    fields = pa.schema([("kind", pa.int8()), ("doc_id", kind), ("n", pa.int64()), ("fp", pa.int64())])
+
+    def counted(sets: list) -> pa.RecordBatch:
+        values, counts = np.unique(np.concatenate(sets), return_counts=True)
+        twice = counts > 1
+        k = int(twice.sum())
+        return pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int8)), pa.nulls(k, kind), pa.array(counts[twice].astype(np.int64)), pa.array(values[twice].view(np.int64))], schema=fields)
 
     def run(batches):
-        hashes, seen = _Hashes(), set()
-        fields = pa.schema([("kind", pa.int8()), ("doc_id", kind), ("n", pa.int64()), ("fp", pa.int64())])
+        hashes, seen, sets, size = _Hashes(), set(), [], 0
         for batch in batches:
-            ns, fps, sets = [], [], []
+            ns, fps = [], []
             for raw in _raw(batch, "text"):
                 s = shingles(raw, hashes)
                 ns.append(len(s))
@@ -114,12 +122,13 @@ def _describe(kind: pa.DataType):
                         seen.clear()
                     seen.add(fps[-1])
                     sets.append(s)
+                    size += len(s)
+                    if size > COUNTED:
+                        yield counted(sets)
+                        sets, size = [], 0
             yield pa.RecordBatch.from_arrays([pa.array([0] * len(ns), pa.int8()), batch.column("doc_id"), pa.array(ns, pa.int64()), pa.array(fps, pa.int64())], schema=fields)
-            if sets:
-                values, counts = np.unique(np.concatenate(sets), return_counts=True)
-                twice = counts > 1
-                k = int(twice.sum())
-                yield pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int8)), pa.nulls(k, kind), pa.array(counts[twice].astype(np.int64)), pa.array(values[twice].view(np.int64))], schema=fields)
+        if sets:
+            yield counted(sets)
 
     return run
 
@@ -282,7 +291,8 @@ def sets_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     shared, wanted = None, stored(wanted.distinct(), "jaccard-wanted")
     if wanted.count() <= PREFILTER:
         shared = spark.sparkContext.broadcast(np.sort(np.array([r.fp for r in wanted.toLocalIterator()], np.int64)))
-    return stored(texts.mapInArrow(_sets(shared), f"fp long, bin binary, {', '.join(f'{c} long' for c in SIGNS)}").groupBy("fp").agg(*[F.first(c).alias(c) for c in ("bin", *SIGNS)]), "jaccard-sets")
+    with arrow_batches(spark, BATCH):
+        return stored(texts.mapInArrow(_sets(shared), f"fp long, bin binary, {', '.join(f'{c} long' for c in SIGNS)}").groupBy("fp").agg(*[F.first(c).alias(c) for c in ("bin", *SIGNS)]), "jaccard-sets")
 
 
 def verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -290,7 +300,8 @@ def verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("fp")).groupBy("fp").agg(F.lit(1).alias("n")), "jaccard-named")
     sets = lookup(sets.select("fp", "bin"), wanted, "fp", "n", "left_semi")
     joined = pairs.join(sets.select(F.col("fp").alias("a"), F.col("bin").alias("x")), "a").join(sets.select(F.col("fp").alias("b"), F.col("bin").alias("y")), "b")
-    return stored(joined.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long"), "jaccard-links")
+    with arrow_batches(pairs.sparkSession, BATCH):
+        return stored(joined.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long"), "jaccard-links")
 
 
 def _room_of(x: str, y: str) -> tuple:
@@ -348,7 +359,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     kind = texts.schema["doc_id"].dataType
     from pyspark.sql.pandas.types import to_arrow_type
 
-    told = stored(texts.mapInArrow(_describe(to_arrow_type(kind)), f"kind tinyint, doc_id {kind.simpleString()}, n long, fp long"), "jaccard-docs")
+    with arrow_batches(spark, BATCH):
+        told = stored(texts.mapInArrow(_describe(to_arrow_type(kind)), f"kind tinyint, doc_id {kind.simpleString()}, n long, fp long"), "jaccard-docs")
     rows = told.where("kind = 0")
     frequent = told.where("kind = 1").groupBy("fp").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "fp").limit(MOST).collect()
     values = np.array([r.fp for r in frequent], np.int64).view(np.uint64)
@@ -360,7 +372,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     total, weighted = sum(c * n for n, c in sizes), sum(float(r.n) * r.n for r in frequent)
     boundary = boundary_of(sizes, 1 + weighted / max(1, total))
     keys = texts.mapInArrow(_keys(shared, boundary), "key long, fp long, place long")
-    listed = stored(keys.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_lists, "kind tinyint, a long, b long, place long, weight long"), "jaccard-lists")
+    with arrow_batches(spark, BATCH):
+        listed = stored(keys.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_lists, "kind tinyint, a long, b long, place long, weight long"), "jaccard-lists")
     met = stored(listed.where("kind = 0").groupBy("a", "b").agg(F.sum("weight").alias("weight"), F.max("place").alias("needed")), "jaccard-met")
     long = stored(listed.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("fp"), "place").distinct(), "jaccard-long")
     pairs = met.where("weight >= needed").select("a", "b")
