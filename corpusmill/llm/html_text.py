@@ -32,6 +32,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rb rp rt ruby s samp small span strike strong sub sup time tt u var wbr td th".split())
 #: Content of these is no text; it ends only at their own end tag.
 RAW = frozenset("script style noscript iframe textarea title xmp noembed noframes template svg math object canvas audio video select".split())
+#: Of these, the ones that hold no tags: `<` is a character there, and only the own end tag counts.
+PLAIN = {t: re.compile(rf"</{t}(?=[\t\n\f\r />])", re.I | re.A) for t in "style noscript iframe textarea title xmp noembed noframes".split()}
+SCRIPT = re.compile(r"<!--(?!-*>)|-->|<(?P<end>/?)script(?=[\t\n\f\r />])", re.I | re.A)
 DROP_TAGS = frozenset("nav aside form footer head button fieldset dialog menu".split())
 MAIN_TAGS = frozenset(("article", "main"))
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
@@ -106,6 +109,27 @@ def _hint(tag: str, raw: str, in_main: bool) -> tuple[str, bool]:
     return "", main
 
 
+def _plain_end(page: str, tag: str, at: int) -> int:
+    """Where the end tag of a plain element begins whose content begins at `at`; -1 without one. In a script, a comment may hold
+    a whole inner script; if then no end is left, the first end tag counts."""
+    if tag != "script":
+        m = PLAIN[tag].search(page, at)
+        return m.start() if m else -1
+    first, comment, inner = -1, False, False
+    for m in SCRIPT.finditer(page, at):
+        if m[0] == "<!--":
+            comment = True
+        elif m[0] == "-->":
+            comment = inner = False
+        elif not m["end"]:
+            inner = comment
+        elif inner:
+            inner, first = False, m.start() if first < 0 else first
+        else:
+            return m.start()
+    return first
+
+
 def blocks(page: str) -> list[Block]:
     """The page's blocks in order, empty ones left out."""
     out: list[Block] = []
@@ -114,9 +138,18 @@ def blocks(page: str) -> list[Block]:
     drops = comments = mains = region = links = 0
     new = True
     raw_end = None
-    for m in TOKEN.finditer(page):
+    tokens = TOKEN.finditer(page)
+    while (m := next(tokens, None)) is not None:
         tag = m["tag"] or m["tag2"]
         ends = bool(m["end"] or m["end2"])
+        if tag and not ends and ((plain := tag.lower()) == "script" or plain in PLAIN) and not (m["attrs"] or m["attrs2"] or "").rstrip().endswith("/"):
+            new = new or not raw_end
+            at = _plain_end(page, plain, m.end())
+            if at >= 0 and (after := page.find(">", at)) >= 0:
+                tokens = TOKEN.finditer(page, after + 1)
+            elif not raw_end:
+                break
+            continue
         if raw_end:
             if tag and ends and tag.lower() == raw_end:
                 raw_end, new = None, new
