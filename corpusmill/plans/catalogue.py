@@ -29,6 +29,7 @@ SOURCE = Source("corpus", "repo/corpus", None, "train", columns={"id": "doc_id",
 POLICY = Policy(min_words=60, max_words=2000, min_chars=300, max_chars=12000, languages=("en", "fr"), minimums={"int_score": 1.0, "estimated_tokens": 100.0}, missing_policy="reject")
 MIX = Mix("blend", (MixSource("documents", 0.4), MixSource("pages", 0.3), MixSource("conversations", 0.2), MixSource("benchmark", 0.1)), 60_000, 42, 8)
 OPEN_MIX = Mix("all", MIX.sources, None, 42, 8, 300)
+WHOLE_MIX = Mix("whole", MIX.sources, None, 42, 8)
 HARD, CHUNK, SHARD, IO = 512, 64, 10_000, 777
 #: The limits that whole texts are tokenized under, those of the reference.
 WHOLE = (65_536, 8_192)
@@ -301,7 +302,7 @@ def mix_report(spark, sf_dir):
 
 
 def _mix_output(spark, sf_dir, mix):
-    docs = mix_input(spark, sf_dir, mix)
+    docs = mix_input(spark, sf_dir, mix).drop("text").persist()  # a few numbers a row, that several passes read
     out = mixing.output(docs, mixing.schedule(mixing.batches(docs), mix), mix)
     return out.select("position", "source_name", "file", "k", "k2", "estimated_tokens", "mix_name", "mix_weight")
 
@@ -321,6 +322,11 @@ def mix_row_limit(spark, sf_dir):
     return _mix_output(spark, sf_dir, OPEN_MIX)
 
 
+@_query("mix_whole", _mix_output_sql(WHOLE_MIX))
+def mix_whole(spark, sf_dir):
+    return _mix_output(spark, sf_dir, WHOLE_MIX)
+
+
 @_query("mix_next_source", f"WITH w(source, weight, tie) AS (VALUES {', '.join(f'({chr(39)}{n}{chr(39)}, {w!r}::DOUBLE, {MIX.ranks[n]})' for n, w in MIX.shares.items())}), e AS (SELECT 'documents' AS source, count(*) AS t FROM documents UNION ALL SELECT 'pages', count(*) FROM pages UNION ALL SELECT 'conversations', count(*) FROM conversations) SELECT source FROM e JOIN w USING (source) ORDER BY t / weight, tie LIMIT 1")
 def mix_next_source(spark, sf_dir):
     from functools import reduce

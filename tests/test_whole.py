@@ -1,4 +1,4 @@
-"""Registered queries that do the whole job: no prefix of a text."""
+"""Registered queries that do the whole job: no prefix of a text, no target of a mix."""
 
 import random
 
@@ -22,3 +22,12 @@ def test_whole_texts_are_tokenized(spark, tmp_path):
     assert sum(r.n for r in QUERIES["token_shards_whole"](spark, str(tmp_path)).collect()) == total
     streams = {r.doc_id: r.stream.split() for r in QUERIES["token_chunks_whole"](spark, str(tmp_path)).collect()}
     assert all(sum(x != str(EOS) for x in streams[k]) == w for k, w in n.items())
+
+
+def test_whole_tables_are_mixed(spark, tmp_path):
+    documents(spark, tmp_path)
+    spark.range(40).selectExpr("id as page_id", "repeat('w ', 700) as html").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.range(90).selectExpr("id div 3 as conv_id", "id % 3 as turn", "repeat('w ', 900) as text").write.parquet(f"{tmp_path}/conversations.parquet")
+    spark.range(400).selectExpr("id as item_id", "if(id = 0, null, 'a b c') as text").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = QUERIES["mix_whole"](spark, str(tmp_path)).collect()
+    assert sorted(r.position for r in rows) == list(range(5 + 40 + 90 + 400)) and sum(r.estimated_tokens for r in rows) > 60_000
