@@ -72,6 +72,7 @@ def guess_cost(value: str, ranks: dict[str, int] = RANKS, longest: int = LONGEST
     plain = low.translate(LEET)
     best = [0.0] + [math.inf] * n
     repeat, walk, step = 1, 1, 1  # lengths of the repeat, walk and sequence that end here
+    runs = [math.inf] * 3  # the least cost with a span of each kind that ends here, of any length from 3 to the run's
     dates: dict[int, list[int]] = {}
     for start in range(n):
         if low[start].isdigit() and (m := DATE.match(low, start)):
@@ -83,9 +84,10 @@ def guess_cost(value: str, ranks: dict[str, int] = RANKS, longest: int = LONGEST
             repeat = repeat + 1 if a == b else 1
             walk = walk + 1 if b in NEXT_TO.get(a, ()) else 1
             step = step + 1 if ord(b) - ord(a) == (1 if step == 1 else ord(a) - ord(low[end - 3])) and abs(ord(b) - ord(a)) == 1 else 2 if abs(ord(b) - ord(a)) == 1 else 1
-        for length, base, each in ((repeat, _brute(value[end - 1]), 0.05), (walk, 1.7, 0.45), (step, 1.3, 0.05)):
-            for k in {3, length} if length >= 3 else ():  # a longer span costs little more, so the whole one or a short one is best
-                cost = min(cost, best[end - k] + 0.3 + base + each * k)
+        for k, (length, base, each) in enumerate(((repeat, _brute(value[end - 1]), 0.05), (walk, 1.7, 0.45), (step, 1.3, 0.05))):
+            # the span goes on by one more, or begins three back
+            runs[k] = min(runs[k] + each, best[end - 3] + 3 * each) if length >= 3 else math.inf
+            cost = min(cost, runs[k] + 0.3 + base)
         for start in dates.get(end, ()):
             cost = min(cost, best[start] + 0.3 + (2.1 if end - start == 4 else 4.6))
         for k in range(3, min(longest, end) + 1):
