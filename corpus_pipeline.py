@@ -7,7 +7,7 @@ Nulls in any column, empty texts, repeated rows and empty tables pass as the ope
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm import decontam, jaccard, langid, line_dedup, mixing
@@ -29,11 +29,17 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return found.select("doc_id", F.col("_kept").alias("text"), "lang", "source", F.length("_kept").cast("long").alias("n_chars"))
 
 
+def _row_key() -> Column:
+    """A text for each row, all different, that sorts by doc_id (nulls last), then by a hash of the row, then by its place."""
+    at = F.lpad(F.hex(F.col("doc_id").cast("long").bitwiseXOR(F.lit(-(2**63)).cast("long"))), 16, "0")
+    return F.concat(F.coalesce(F.concat(F.lit("0"), at), F.lit("1")), F.lpad(F.hex(F.xxhash64("text", "lang", "source", "n_chars")), 16, "0"), F.lpad(F.hex(F.monotonically_increasing_id()), 16, "0"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id stays. Rows with one doc_id stay or go together."""
-    docs = docs.select(*COLUMNS)
-    gone = jaccard.join(docs).where("doc_id <> component_id").groupBy("doc_id").agg(F.count("*").alias("_n"))
-    return lookup(docs, stored(gone, "pipeline-gone"), "doc_id", "_n", "left_anti").select(*COLUMNS)
+    """Of each group of linked rows one stays, that with the smallest doc_id, of several with it any. A null doc_id is the largest."""
+    rows = stored(docs.select(*COLUMNS, _row_key().alias("_row")), "pipeline-rows")  # so that the keys stay as they are
+    gone = jaccard.join(rows, "_row").where("doc_id <> component_id").select(F.col("doc_id").alias("_row"), F.lit(1).alias("_n"))
+    return lookup(rows, stored(gone, "pipeline-gone"), "_row", "_n", "left_anti").select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
