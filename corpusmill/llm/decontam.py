@@ -8,8 +8,8 @@ block (the last one of the patterns' common length) selects a bucket of patterns
 Items are handled in blocks of at most `block_bytes` bytes of text, so what is broadcast has a fixed bound; with more blocks
 the documents pass the search several times, and their hits are carried along as a column.
 
-Defined results: null or empty text has no words and no hits; items that are null or without words never occur; repeated items
-with one id count once; repeated documents are decided alike; an empty benchmark or document table works; extra columns pass.
+Defined results: null or empty text has no words and no hits; items whose text is null or without words never occur; repeated
+items with one id count once, and so do all items with a null id together, whose hits count like others; repeated documents are decided alike; an empty benchmark or document table works; extra columns pass.
 """
 
 from __future__ import annotations
@@ -76,8 +76,8 @@ class Matcher:
 class Index:
     """All windows of a block of items."""
 
-    def __init__(self, items: list[tuple[str, bytes]]) -> None:
-        held: dict[bytes, dict[str, None]] = {}
+    def __init__(self, items: list[tuple[str | None, bytes]]) -> None:
+        held: dict[bytes, dict[str | None, None]] = {}
         sizes: dict[bytes, int] = {}
         for name, text in items:
             words = words_of(text)
@@ -89,7 +89,7 @@ class Index:
             classes.setdefault(len(p).bit_length(), {})[p] = (sizes[p], tuple(names))
         self.matchers = [Matcher(c) for c in classes.values()]
 
-    def search(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
+    def search(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str | None]]:
         """Ranges of words that are hit, and the items."""
         text, ranges, items = b" " + b" ".join(words) + b" ", [], set()
         for matcher in self.matchers:
@@ -128,24 +128,24 @@ def _searcher(shared, text: str):
                 ranges = merged(ranges + list(zip(before[::2], before[1::2], strict=True)))
                 n_words.append(len(words))
                 all_ranges.append([x for r in ranges for x in r])
-                all_items.append(sorted(items | set(old_i[k].as_py() or [])))
+                all_items.append(sorted(items | set(old_i[k].as_py() or []), key=lambda i: (i is None, i)))
             new = {"_n_words": pa.array(n_words, pa.int64()), "_ranges": pa.array(all_ranges, pa.list_(pa.int64())), "_items": pa.array(all_items, pa.list_(pa.string()))}
             yield pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) for c in batch.schema.names], names=batch.schema.names)
 
     return run
 
 
-def blocks_of(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> list[list[tuple[str, bytes]]]:
+def blocks_of(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> list[list[tuple[str | None, bytes]]]:
     """The items in blocks of at most block_bytes bytes (one item alone may have more), each made from one hash range."""
-    items = benchmark.where(F.col(text).isNotNull() & F.col(item_id).isNotNull()).select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t"))
+    items = benchmark.where(F.col(text).isNotNull()).select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t"))
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = -(-2 * total // block_bytes) if total > block_bytes else 1
     parts = (items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).collect() for k in range(n))
-    return [[(r.i, r.t.encode("utf-8", "surrogatepass")) for r in sorted(p)] for p in parts]
+    return [[(r.i, r.t.encode("utf-8", "surrogatepass")) for r in sorted(p, key=lambda r: (r.i is None, r.i, r.t))] for p in parts]
 
 
 def search(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", block_bytes: int = 4 << 20) -> DataFrame:
-    """docs with the added columns _n_words, _n_hit, _items (sorted ids as strings), _contaminated, _ranges."""
+    """docs with the added columns _n_words, _n_hit, _items (sorted ids as strings, then a null if an item without id is hit), _contaminated, _ranges."""
     spark = docs.sparkSession
     docs = without(docs, "_n_words", "_ranges", "_items", "_n_hit", "_contaminated")
     out = docs.select("*", F.lit(0).cast("long").alias("_n_words"), F.array().cast("array<long>").alias("_ranges"), F.array().cast("array<string>").alias("_items"))
