@@ -4,6 +4,8 @@ The base kinds (assign, access, hex) are patterns. The added kind `guess` covers
 a sign such as `:`, `=`, `is` or `->` and that no pattern above has found: a value counts if guessing it would take at least
 10 ** min_cost attempts. That cost is the least over all ways to cut the value into dictionary words, dates, repeats, keyboard
 walks and brute-force spans, found by dynamic programming over its positions, so that `password1111` or `qwerty2020` cost little.
+Values of any length count by that cost. One without digits and inner symbols that reads like a word, by its letter pairs, costs
+no more than a guess among 10 ** 6 words for each 24 letters, so that `secret is knowledge` gives no span; random letters do.
 
 Defined results: null is as an empty text; every row is scanned alone, repeated rows alike; whole texts are scanned.
 """
@@ -13,6 +15,7 @@ from __future__ import annotations
 import math
 import re
 import sys
+import unicodedata
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -27,7 +30,7 @@ ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20
 #: Runs that are long enough are just the maximal runs of `AKIA[A-Z0-9]+` and `[0-9a-f]+` that are.
 ACCESS, HEX = re.compile(r"AKIA[A-Z0-9]{14,}"), re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "guess")
-MIN_ASSIGN, MIN_COST, MIN_GUESS = 12, 8.0, 8
+MIN_ASSIGN, MIN_COST = 12, 8.0
 TRIGGERS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 CONTEXT = re.compile(
@@ -59,6 +62,10 @@ NEXT_TO = _neighbours()
 DATE = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])(?:[-/.]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:(?:19|20)\d\d|\d\d)")
 RANKS = {w: k + 1 for k, w in reversed(list(enumerate(WORDS)))}
 LONGEST = max(map(len, WORDS))
+#: How rare a letter (column) is after another one (row), a to z, in quarters of log10, from English words; 9 is the most.
+PAIRS = "95469969698364969453879979|48784999469299499557499979|39693994595699399683599989|49962989399799599758599979|69537779899564978336978699|49994499399599399596499969|59992964499664599567499999|39992999499789399685899989|67565669999552479754969997|58882888888888388858488888|59992979399597779949696979|49863999399499499966699949|35992999399869449969599999|59544739599997699943779999|86659989798552659365566999|49983998699499459365699979|99999999999699999649199999|49762879498867499655788979|69593895398799558943599989|59992995299799599456699969|56575769599453959454999999|39991999399999799999999999|39984994399695499458999999|49474799499979939773999979|79767979399955539934996996|39962999399999499999999969".split("|")
+#: The mean of them, as log10, beyond which a value is no word; letters of one word at most; log10 of all words.
+RARE, WORD_LETTERS, WORD_COST = 1.45, 24, 6.0
 
 
 def _brute(c: str) -> float:
@@ -99,6 +106,16 @@ def guess_cost(value: str, ranks: dict[str, int] = RANKS, longest: int = LONGEST
     return best[n]
 
 
+def word_cost(value: str) -> float:
+    """log10 of the guesses for a value without digits and inner symbols, as words; inf if its letter pairs are rarer than theirs.
+    Accents do not count, and letters beyond a to z tell nothing."""
+    low = "".join(c for c in unicodedata.normalize("NFD", value.lower()) if not unicodedata.combining(c))
+    rare = [int(PAIRS[ord(a) - 97][ord(b) - 97]) for a, b in zip(low, low[1:]) if "a" <= a <= "z" and "a" <= b <= "z"]
+    if rare and sum(rare) > 4 * RARE * len(rare):
+        return math.inf
+    return WORD_COST * math.ceil(len(value) / WORD_LETTERS)
+
+
 def spans(text: str | None, min_cost: float = MIN_COST) -> list[tuple[int, int, int]]:
     """(start, kind's place in KINDS, end) of all secrets, in that order."""
     if not text:
@@ -114,10 +131,10 @@ def spans(text: str | None, min_cost: float = MIN_COST) -> list[tuple[int, int,
         for m in CONTEXT.finditer(text):
             value = m["value"].rstrip(".!?)]}")
             start, end = m.start("value"), m.start("value") + len(value)
-            if len(value) < MIN_GUESS or any(s < end and start < e for s, e in taken):
+            if any(s < end and start < e for s, e in taken):
                 continue
             mixed = any(c.isdigit() for c in value) or any(not c.isalnum() for c in value[1:-1])
-            if mixed and guess_cost(value) >= min_cost:
+            if min(guess_cost(value), math.inf if mixed else word_cost(value)) >= min_cost:
                 out.append((start, 3, end))
     return sorted(out)
 

@@ -27,3 +27,14 @@ def test_random_values():
 def test_weak_values_with_some_more_characters():
     assert secrets.guess_cost("passwordddddd") < 3 and secrets.guess_cost("Xy7passwordddddd") < 8
     assert secrets.spans("password is Xy7passwordddddd") == []
+
+
+@pytest.mark.parametrize("value", ["kqzvxwjhplmn", "xK9#q2v", "kqzvxwjh", "HQZTKWPXVB", "correcthorsebatterystaple"])
+def test_dear_values_of_any_form(value):
+    text = f"passphrase: {value} and secret is {value}."
+    assert [text[s:e] for s, _, e in secrets.spans(text)] == [value] * 2
+
+
+@pytest.mark.parametrize("value", ["knowledge", "understanding", "Wissenschaft", "bibliothèque", "contraseña", "пароль", "letmein", "aB3!", "qwertyuiop"])
+def test_words_and_cheap_values(value):
+    assert secrets.spans(f"the secret is {value}, auth: {value}") == []
