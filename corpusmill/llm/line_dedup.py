@@ -1,9 +1,10 @@
 """Line dedup over levelled sorted runs of line hashes, in DataFrame functions only.
 
-Documents come in batches. A batch counts, for each of its line keys, the documents that hold it; keys that the runs already
-show to be frequent are removed by a merge-anti-join, the rest is written as a new sorted run of level 0. Whenever a level has
-`fanout` runs they are compacted: merged, summed, and written as one run of the next level. The frequent keys are those whose
-counts over all runs reach `min_docs`; each document then loses the lines with such keys.
+Documents come in batches. A batch counts, for each of its line keys, the documents that hold it. A run is a table (key, n) that is
+bucketed by key and sorted in each bucket, so that a new batch, shuffled once into the same buckets, meets every run by a merge
+anti-join that neither shuffles nor sorts the run: keys that a run shows to be frequent are taken out, the rest is written as a new
+run of level 0. Whenever a level has two runs they are compacted: merged by key, bucket by bucket, and written as one run of the next
+level. The frequent keys are those whose counts over all runs reach `min_docs`; each document then loses the lines with such keys.
 
 A key is 64 bits of hash. A rare line is lost only if its hash is that of a frequent line, so the chance is
 (lines x frequent lines) / 2**64.
@@ -14,12 +15,14 @@ loses all lines keeps an empty text; an empty table gives an empty result; other
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
+from contextlib import contextmanager
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, lookup, read_table, stored, without
+from .common import ascii_lower, lookup, read_table, scratch_path, stored, without
 
 BLANKS = "\t\n\x0b\x0c\r "
 #: Frequent keys looked up in an array literal of so many buckets, as long as there are no more than MAX_LITERAL of them.
@@ -34,44 +37,94 @@ def line_keys(text: Column) -> Column:
     return F.transform(F.split(ascii_lower(F.coalesce(text, F.lit(""))), "\n", -1), key)
 
 
-class LineRuns:
-    """The levels of sorted runs (key, n), kept in the shared folder."""
+class Run(NamedTuple):
+    """A run as it is on disk; all that a later session needs to go on with it."""
+
+    level: int
+    path: str
+    buckets: int
 
-    def __init__(self, spark: SparkSession, min_docs: int, fanout: int = 4) -> None:
-        self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
-        self.levels: list[list[DataFrame]] = []
 
-    def _write(self, run: DataFrame, level: int) -> None:
-        while len(self.levels) <= level:
-            self.levels.append([])
-        self.levels[level].append(stored(run.sortWithinPartitions("key"), f"lines-level{level}"))
-        if len(self.levels[level]) >= self.fanout:
-            merged, self.levels[level] = self.levels[level], []
-            self._write(self._sum(merged), level + 1)
+@contextmanager
+def _in_order(spark: SparkSession) -> Iterator[None]:
+    """Within it, scans of buckets of one file each tell that they are sorted."""
+    key = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
-    @staticmethod
-    def _sum(runs: list[DataFrame]) -> DataFrame:
-        return reduce(DataFrame.unionByName, runs).groupBy("key").agg(F.sum("n").alias("n"))
+
+class LineRuns:
+    """Runs in the shared folder. Batches are added with add(); `runs` of an earlier LineRuns can be given to go on with them."""
+
+    def __init__(self, spark: SparkSession, min_docs: int, runs: list[Run] = ()) -> None:
+        self.spark, self.min_docs = spark, min_docs
+        self.runs = list(runs)
+
+    def table(self, run: Run) -> DataFrame:
+        """key, n of a run, known to Spark as bucketed and sorted by key."""
+        name = "lines_" + run.path.rpartition("-")[2]
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (key BIGINT, n BIGINT) USING parquet CLUSTERED BY (key) SORTED BY (key) INTO {run.buckets} BUCKETS LOCATION '{run.path}'")
+        return self.spark.table(name)
+
+    def _written(self, counts: DataFrame, level: int) -> Run:
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        run = Run(level, scratch_path(self.spark, f"lines-level{level}"), buckets)
+        with _in_order(self.spark):
+            counts.write.format("parquet").option("compression", "zstd").option("path", run.path).bucketBy(buckets, "key").sortBy("key").saveAsTable("lines_" + run.path.rpartition("-")[2])
+        return run
+
+    def _merged(self, x: DataFrame, y: DataFrame) -> DataFrame:
+        both = x.withColumnRenamed("n", "x").hint("merge").join(y.withColumnRenamed("n", "y"), "key", "full")
+        return both.select("key", (F.coalesce("x", F.lit(0)) + F.coalesce("y", F.lit(0))).cast("long").alias("n"))
+
+    def _dropped(self, run: Run) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS lines_{run.path.rpartition('-')[2]}")  # its files stay
+
+    def new_counts(self, keys: DataFrame) -> DataFrame:
+        """key, n of a batch (a row for each document and key), without the keys that some run shows to be frequent. A key that only
+        the runs' sum shows goes on being counted."""
+        counts = keys.groupBy("key").agg(F.count("*").alias("n"))
+        for run in self.runs:
+            counts = counts.hint("merge").join(self.table(run).where(F.col("n") >= self.min_docs).select("key"), "key", "left_anti")
+        return counts
+
+    def add_keys(self, keys: DataFrame) -> None:
+        self.runs.append(self._written(self.new_counts(keys), 0))
+        while len(self.runs) > 1 and self.runs[-1].level == self.runs[-2].level:
+            y, x = self.runs.pop(), self.runs.pop()
+            self.runs.append(self._written(self._merged(self.table(x), self.table(y)), x.level + 1))
+            self._dropped(x)
+            self._dropped(y)
+
+    def add(self, docs: DataFrame, text: str = "text") -> None:
+        """Adds a batch of documents."""
+        self.add_keys(document_keys(docs, text))
 
     def frequent(self) -> DataFrame:
         """key, n for each key that at least min_docs documents hold."""
-        runs = [r for level in self.levels for r in level]
-        return self._sum(runs).where(F.col("n") >= self.min_docs)
+        out = self.table(self.runs[-1])
+        for run in self.runs[-2::-1]:  # from small to large
+            out = self._merged(out, self.table(run))
+        return out.where(F.col("n") >= self.min_docs)
+
 
-    def add(self, docs: DataFrame, text: str) -> None:
-        batch = docs.select(F.explode(F.array_distinct(F.filter(line_keys(F.col(text)), lambda k: k.isNotNull()))).alias("key"))
-        counts = batch.groupBy("key").agg(F.count("*").alias("n"))
-        if any(self.levels):
-            # each run alone may show a key to be frequent; a key that only their sum shows goes on being counted
-            for run in (r for level in self.levels for r in level):
-                counts = counts.join(run.where(F.col("n") >= self.min_docs).select("key"), "key", "left_anti")
-        self._write(counts, 0)
+def document_keys(docs: DataFrame, text: str, *more: Column) -> DataFrame:
+    """key, a row for each document and different key of its lines."""
+    return docs.select(*more, F.explode(F.array_distinct(F.filter(line_keys(F.col(text)), lambda k: k.isNotNull()))).alias("key"))
 
 
-def build_runs(docs: DataFrame, text: str = "text", min_docs: int = 10, batches: int = 3, fanout: int = 2) -> LineRuns:
-    runs = LineRuns(docs.sparkSession, min_docs, fanout)
+def build_runs(docs: DataFrame, text: str = "text", min_docs: int = 10, batches: int = 3) -> LineRuns:
+    """The runs of a table that is taken in batches by a hash of the text. Its keys are computed once, and kept by batch."""
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "lines-keys")
+    keys = document_keys(docs, text, F.pmod(F.xxhash64(text), F.lit(batches)).cast("int").alias("batch"))
+    keys.write.option("compression", "zstd").partitionBy("batch").parquet(path)
+    keys, runs = spark.read.schema(keys.schema).parquet(path), LineRuns(spark, min_docs)
     for b in range(batches):
-        runs.add(docs.where(F.pmod(F.xxhash64(text), F.lit(batches)) == b), text)
+        runs.add_keys(keys.where(F.col("batch") == b).select("key"))
     return runs
 
 
@@ -79,7 +132,8 @@ def clean(docs: DataFrame, text: str = "text", min_docs: int = 10, batches: int
     """docs with the added columns _kept (text), _n_lines, _n_dropped."""
     docs = without(docs, "_kept", "_n_lines", "_n_dropped", "_pairs", "_keep", "_row", "_gone")
     runs = build_runs(docs.select(text), text, min_docs, batches)
-    frequent = stored(runs.frequent(), "lines-frequent")
+    with _in_order(docs.sparkSession):
+        frequent = stored(runs.frequent(), "lines-frequent")
     n, most = frequent.agg(F.count("*"), F.max("n")).first()
     lines, keys = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1), line_keys(F.col(text))
     if n <= MAX_LITERAL:
