@@ -2,11 +2,12 @@
 
 Documents and items become words joined by single blanks, with a blank at both ends. Each window of an item is a pattern, from
 blank to blank, so that a match begins and ends at word boundaries. For the patterns of like length a Matcher holds a block
-shift table: how far the search may jump when a block of bytes ends at the current place. Where the shift is 0, the hash of the
-block (the last one of the patterns' common length) selects a bucket of patterns, and direct comparison confirms them.
+shift table by hash: how far the search may jump when a block of bytes ends at the current place. Where the shift is 0, the block
+(the last one of the patterns' common length) selects a bucket of patterns, and direct comparison confirms them.
 
-Items are handled in blocks of at most `block_bytes` bytes of text, so what is broadcast has a fixed bound; with more blocks
-the documents pass the search several times, and their hits are carried along as a column.
+Items are handled in blocks of at most `block_bytes` bytes of text, one at a time on the driver, so what is broadcast has a fixed
+bound; with more blocks the documents pass the search several times, and their hits are carried along as a column. A worker builds
+a block's index once.
 
 Defined results: null or empty text has no words and no hits; items whose text is null or without words never occur; repeated
 items with one id count once, and so do all items with a null id together, whose hits count like others; repeated documents are decided alike; an empty benchmark or document table works; extra columns pass.
@@ -16,6 +17,8 @@ from __future__ import annotations
 
 import math
 import sys
+from array import array
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -48,26 +51,28 @@ class Matcher:
         self.patterns, self.m = patterns, min(map(len, patterns))
         blocks = 2 * self.m * len(patterns)
         self.block = b = min(self.m, max(2, math.ceil(math.log(blocks, 4))))
-        self.shift: dict[bytes, int] = {}
+        self.mask = (1 << min(22, max(12, blocks.bit_length()))) - 1
+        self.jump = min(65535, self.m - b + 1)
+        self.shift = array("H", [self.jump]) * (self.mask + 1)
         self.buckets: dict[bytes, list[bytes]] = {}
         for p in patterns:
-            for end in range(b, self.m + 1):
-                key = p[end - b : end]
-                self.shift[key] = min(self.shift.get(key, self.m), self.m - end)
+            for end in range(max(b, self.m + 1 - self.jump), self.m + 1):
+                k = hash(p[end - b : end]) & self.mask
+                self.shift[k] = min(self.shift[k], self.m - end)
             self.buckets.setdefault(p[self.m - b : self.m], []).append(p)
 
     def find(self, text: bytes):
         """(start, pattern) of each occurrence, by start."""
-        m, b, get, jump = self.m, self.block, self.shift.get, self.m - self.block + 1
+        m, b, shift, mask, bucket = self.m, self.block, self.shift, self.mask, self.buckets.get
         end, n = m, len(text)
         while end <= n:
             block = text[end - b : end]
-            step = get(block, jump)
+            step = shift[hash(block) & mask]
             if step:
                 end += step
                 continue
             start = end - m
-            for p in self.buckets[block]:
+            for p in bucket(block, ()):
                 if text.startswith(p, start):
                     yield start, p
             end += 1
@@ -77,16 +82,17 @@ class Index:
     """All windows of a block of items."""
 
     def __init__(self, items: list[tuple[str | None, bytes]]) -> None:
-        held: dict[bytes, dict[str | None, None]] = {}
-        sizes: dict[bytes, int] = {}
+        held: dict[bytes, tuple[int, tuple]] = {}  # of each pattern: its words, and the items that have it
         for name, text in items:
             words = words_of(text)
+            own = (min(WINDOW, len(words)), (name,))
             for p in windows_of(words):
-                held.setdefault(p, {})[name] = None
-                sizes[p] = min(WINDOW, len(words))
+                old = held.setdefault(p, own)
+                if name not in old[1]:
+                    held[p] = (old[0], (*old[1], name))
         classes: dict[int, dict[bytes, tuple]] = {}
-        for p, names in held.items():  # short patterns would shorten the jumps of long ones
-            classes.setdefault(len(p).bit_length(), {})[p] = (sizes[p], tuple(names))
+        for p, found in held.items():  # short patterns would shorten the jumps of long ones
+            classes.setdefault(len(p).bit_length(), {})[p] = found
         self.matchers = [Matcher(c) for c in classes.values()]
 
     def search(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str | None]]:
@@ -103,6 +109,18 @@ class Index:
         return ranges, items
 
 
+class Block:
+    """The items of a block, as they are broadcast; a worker keeps it, and its index, between tasks."""
+
+    def __init__(self, items: list[tuple[str | None, bytes]]) -> None:
+        self.items, self.made = items, None
+
+    def index(self) -> Index:
+        if self.made is None:
+            self.made = Index(self.items)
+        return self.made
+
+
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for a, b in sorted(ranges):
@@ -117,7 +135,7 @@ def _searcher(shared, text: str):
     """Adds to _n_words, _ranges and _items what the items of one block hit."""
 
     def run(batches):
-        index = Index(shared.value)
+        index = shared.value.index()
         for batch in batches:
             n_words, all_ranges, all_items = [], [], []
             old_r, old_i = batch.column("_ranges"), batch.column("_items")
@@ -135,13 +153,14 @@ def _searcher(shared, text: str):
     return run
 
 
-def blocks_of(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> list[list[tuple[str | None, bytes]]]:
-    """The items in blocks of at most block_bytes bytes (one item alone may have more), each made from one hash range."""
+def blocks_of(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> tuple[int, Iterator[list[tuple[str | None, bytes]]]]:
+    """The number of blocks, and the items in blocks of about block_bytes / 2 bytes, each made from one hash range when it is due.
+    One item alone may have more."""
     items = benchmark.where(F.col(text).isNotNull()).select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t"))
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = -(-2 * total // block_bytes) if total > block_bytes else 1
     parts = (items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).collect() for k in range(n))
-    return [[(r.i, r.t.encode("utf-8", "surrogatepass")) for r in sorted(p, key=lambda r: (r.i is None, r.i, r.t))] for p in parts]
+    return n, ([(r.i, r.t.encode("utf-8", "surrogatepass")) for r in sorted(p, key=lambda r: (r.i is None, r.i, r.t))] for p in parts)
 
 
 def search(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", block_bytes: int = 4 << 20) -> DataFrame:
@@ -149,12 +168,13 @@ def search(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: s
     spark = docs.sparkSession
     docs = without(docs, "_n_words", "_ranges", "_items", "_n_hit", "_contaminated")
     out = docs.select("*", F.lit(0).cast("long").alias("_n_words"), F.array().cast("array<long>").alias("_ranges"), F.array().cast("array<string>").alias("_items"))
-    blocks = blocks_of(benchmark, item_id, item_text, block_bytes)
+    n, blocks = blocks_of(benchmark, item_id, item_text, block_bytes)
     for k, items in enumerate(blocks):
-        schema = T.StructType([T.StructField(f.name, f.dataType) for f in out.schema])
-        out = out.mapInArrow(_searcher(spark.sparkContext.broadcast(items), text), schema)
-        if k + 1 < len(blocks):
+        schema, shared = T.StructType([T.StructField(f.name, f.dataType) for f in out.schema]), spark.sparkContext.broadcast(Block(items))
+        out = out.mapInArrow(_searcher(shared, text), schema)
+        if k + 1 < n:
             out = stored(out, "decontam")
+            shared.unpersist()
     hit = F.aggregate(F.sequence(F.lit(0), F.size("_ranges") - 2, F.lit(2)), F.lit(0).cast("long"), lambda n, i: n + F.element_at("_ranges", i + 2) - F.element_at("_ranges", i + 1))
     out = out.withColumn("_n_hit", F.when(F.size("_ranges") > 0, hit).otherwise(F.lit(0).cast("long")))
     return out.withColumn("_contaminated", (F.col("_n_hit") > 0) & (20 * F.col("_n_hit") >= F.col("_n_words")))
