@@ -5,8 +5,9 @@ occur in the whole text) says to which half the text belongs. Decoding is loss-w
 bits, of the bit's weight (from its training error) times the logistic loss of the classifier's margin against the codeword;
 the language with the least loss wins. The text is ambiguous if the two nearest codewords' losses hardly differ.
 
-Training takes a bounded sample: at most about `per_language` labelled rows of each language, chosen by hash, so that reruns
-agree; the model is fitted on the driver. Prediction covers every row.
+Training takes a bounded sample, chosen by hash, so that reruns agree: about `per_language` labelled rows of each language, fewer if
+they are so many that this makes more than `MOST_ROWS`, and of more than `MOST_LANGUAGES` languages the most frequent ones. The
+model is fitted on the driver. Prediction covers every row.
 
 Defined results: null text, or text without a letter, is `und` with score 0 and not ambiguous; without any labelled row every
 text is `und`; with one language every text that has a letter gets it with score 1; repeated rows are predicted alike.
@@ -32,6 +33,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Hashed features; labelled rows of each language in the sample; losses nearer than this part of the bits' weight are ambiguous.
 BITS, PER_LANGUAGE, NEAR = 16, 1000, 0.02
+#: Bounds of the sample: languages, and rows in all (of 8 kB at most).
+MOST_LANGUAGES, MOST_ROWS = 256, 8000
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -57,6 +60,17 @@ def features(text: str) -> np.ndarray:
     return np.flatnonzero(seen)
 
 
+def packed(f: np.ndarray) -> bytes:
+    """Features as bits."""
+    seen = np.zeros(1 << BITS, bool)
+    seen[f] = True
+    return np.packbits(seen).tobytes()
+
+
+def unpacked(bits: bytes) -> np.ndarray:
+    return np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8))).astype(np.int32)
+
+
 def codewords(n: int) -> np.ndarray:
     """n codewords: all ways to part the languages in two, up to 7 languages; beyond that the most distant of seeded random ones."""
     if n <= 7:
@@ -121,17 +135,19 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     """A model from the rows that are not held out. Only features, at most 8 kB a row, reach the driver."""
     docs = docs.select(doc_id, text, lang)
     known = docs.where(~held_out(F.col(doc_id)) & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = known.groupBy(F.col(lang).alias("_lang")).agg(F.count("*").alias("_n"))
+    counts = known.groupBy(F.col(lang).alias("_lang")).agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "_lang").limit(MOST_LANGUAGES).collect()
+    per_language = min(per_language, MOST_ROWS // max(1, len(counts)))
+    counts = docs.sparkSession.createDataFrame([(r._lang, r._n) for r in counts], docs.select(F.col(lang).alias("_lang"), F.lit(1).cast("long").alias("_n")).schema)
     draw = F.pmod(F.xxhash64(F.lit("sample"), F.col(doc_id).cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     chosen = known.join(F.broadcast(counts), F.col(lang) == F.col("_lang")).where(draw < F.lit(float(per_language)) / F.col("_n"))
 
     def featured(batches):
         for p in batches:
             p = p[[bool(LETTER.search(t)) for t in p["text"]]] if len(p) else p
-            yield pd.DataFrame({"lang": p["lang"], "id": p["id"], "f": pd.Series([features(t).astype(np.int32).tobytes() for t in p["text"]], index=p.index, dtype=object)})
+            yield pd.DataFrame({"lang": p["lang"], "id": p["id"], "f": pd.Series([packed(features(t)) for t in p["text"]], index=p.index, dtype=object)})
 
     rows = chosen.select(F.col(lang).cast("string").alias("lang"), F.col(doc_id).cast("string").alias("id"), F.col(text).alias("text")).mapInPandas(featured, "lang string, id string, f binary").collect()
-    return fit([(r.lang, np.frombuffer(r.f, np.int32)) for r in sorted(rows, key=lambda r: (r.lang, r.id or "", bytes(r.f)))])
+    return fit([(r.lang, unpacked(r.f)) for r in sorted(rows, key=lambda r: (r.lang, r.id or "", bytes(r.f)))])
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
