@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -44,6 +44,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def measured(df: DataFrame, label: str, *measures: Column) -> tuple[DataFrame, Row]:
+    """stored(df), with aggregates of its rows, observed while they are written, so that they take no job of their own."""
+    seen = Observation(f"{label}-{uuid.uuid4().hex}")
+    out = stored(df.observe(seen, *[m.alias(f"m{k}") for k, m in enumerate(measures)]), label)
+    return out, Row(*[seen.get[f"m{k}"] for k in range(len(measures))])
+
+
 @contextmanager
 def arrow_batches(spark: SparkSession, size: str) -> Iterator[None]:
     """Within it, jobs hand Python workers batches of about `size` (or of one row), so that long values do not add up in memory."""
@@ -66,13 +73,14 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 
 
-def lookup(left: DataFrame, table: DataFrame, on: str, weight: str, how: str = "left", rows: int = BROADCAST_ROWS) -> DataFrame:
-    """left joined with table, which has each key of `on` once; `weight` says how many rows of left may hold that key.
+def lookup(left: DataFrame, table: DataFrame, on: str, weight: str, how: str = "left", rows: int = BROADCAST_ROWS, size: Row | None = None) -> DataFrame:
+    """left joined with table, which has each key of `on` once; `weight` says how many rows of left may hold that key; `size` has
+    the table's number of rows and sum of weights, if known.
 
     A table of at most `rows` rows is broadcast. Beyond that the hot keys, at most 1 / HOT_PART by their share of the weight,
     are broadcast and all other keys are joined by a shuffle, so that no task gets a hot key's rows.
     """
-    n, total = table.agg(F.count("*"), F.sum(weight)).first()
+    n, total = size or table.agg(F.count("*"), F.sum(weight)).first()
     values = table.drop(weight)
     if n <= rows:
         return left.join(F.broadcast(values), on, how)
@@ -88,18 +96,19 @@ def lookup(left: DataFrame, table: DataFrame, on: str, weight: str, how: str = "
 def star(edges: DataFrame, label: str, steps: int | None = None) -> DataFrame:
     """Edges (a, b: bigint) contracted by alternating large-star and small-star steps, each written in the shared folder: at most
     `steps` of both, or until each node a of a component has one edge, to its least node b. Edges found later can be added."""
-    now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
+    mark = (F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")))
+    now, after = measured(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label, *mark)
     before, done = None, 0
-    while done != steps and (mark := tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())) != before:
-        before, done = mark, done + 1
+    while done != steps and after[0] and after != before:
+        before, done = after, done + 1
         for large in (True, False):
             both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else now
-            least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n")), label)
-            linked = lookup(both, least, "a", "n", "inner")
+            least, size = measured(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n")), label, F.count("*"), F.sum("n"))
+            linked = lookup(both, least, "a", "n", "inner", size=size)
             out = linked.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
             if not large:
                 out = linked.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-            now = stored(out.where("a <> b").distinct(), label)
+            now, after = measured(out.where("a <> b").distinct(), label, *mark)
     return now
 
 

@@ -9,11 +9,12 @@ the first k + c shingles of both, k = size // 4, have at least c in common, for
   a set in as many lists as the smaller c of both; light sets large enough to match a heavy one enter those lists as well.
 * The boundary is where the estimated cost is least: the number of subsets against list entries times the mean length of a list.
 
-Sets that are equal are one class, known by a hash, before anything is joined. In a key's list, two classes are candidates only
+Sets that are equal are one class, known by a hash of 64 bits that a second one of 64 bits guards, before anything is joined. In a key's list, two classes are candidates only
 if their sizes and the positions of the key leave room for the similarity. Short lists give all their candidates. A long list
 counts each class's next few neighbours first; after these are verified and linked into components, its classes meet a few hubs of
-the list for some rounds, which links most of a large group. The classes that are then still in different components count in full,
-and give the rest, but for those whose signatures differ too much for the similarity. So large groups of near copies never emit all
+the list for some rounds, which links most of a large group. Then the classes that are not in the list's largest component meet all
+classes of other components, in salted parts of the list, and give the rest, but for those whose signatures differ too much for the
+similarity. So large groups of near copies never emit all
 pairs, and no link that could join two components is left out. Candidates are verified exactly on the sets.
 
 Defined results: null or empty text, or text of blanks, has an empty set and links with nothing; rows with equal texts are linked;
@@ -25,7 +26,6 @@ from __future__ import annotations
 import sys
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
@@ -50,44 +50,82 @@ SIGNATURE = 8
 SIGNS = [f"s{i}" for i in range(SIGNATURE)]
 #: Sum of the sizes from which on signatures tell nothing.
 TELLING = 7 * 16 * SIGNATURE
+#: Pairs of a long list's entries that are compared in one part of it.
+MEETING = 1 << 20
 #: Set in the place of a light key.
 LIGHT = 1 << 31
 #: Candidate classes that are broadcast as a sorted array, to keep other sets from being shuffled.
 PREFILTER = 1 << 20
-#: Bytes of texts or sets that a task hands to Python at once, and shingles that it counts at once.
-BATCH, COUNTED = "8m", 1 << 22
+#: Bytes of texts or sets that a task hands to Python at once, shingles that it counts at once, classes that it remembers.
+BATCH, COUNTED, SEEN = "4m", 1 << 20, 200_000
 #: Boundaries that are tried.
 LIMITS = (0, 4, 8, 12, 16, 20, 24, 32, 40, 48, 64)
 
 
-class _Hashes(dict):
-    """Hash of each word, kept for a while."""
+def _powers(base: int) -> np.ndarray:
+    return np.concatenate([np.ones(1, np.uint64), np.multiply.accumulate(np.full(PIECE, base, np.uint64))])
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
 
+#: Words are hashed all at once, by differences of prefix sums of a polynomial: a random number for each byte, powers of an odd
+#: base and of its inverse modulo 2 ** 64. Texts are taken in pieces of so many bytes, cut between words; words that are longer than
+#: LONG_WORD, for which such a hash is weak, are hashed one by one.
+PIECE, LONG_WORD = 1 << 15, 512
+BASE = 0x9E3779B97F4A7C15
+BYTES = np.random.default_rng(5).integers(0, 1 << 64, 256, np.uint64, endpoint=False)
+POWERS, INVERSES = _powers(BASE), _powers(pow(BASE, -1, 1 << 64))
 
-def shingles(text: bytes | None, hashes: dict, n: int = WORDS) -> np.ndarray:
+
+def word_hashes(text: bytes | None) -> np.ndarray:
+    """The hash of each word of a whole text, in order."""
+    text, at, out = text.translate(TO_WORDS) if text else b"", 0, [np.zeros(0, np.uint64)]
+    while at < len(text):
+        stop = len(text)
+        if stop - at > PIECE:
+            stop = text.rfind(b" ", at, at + PIECE)
+            if stop < 0:  # a single word
+                stop = text.find(b" ", at + PIECE)
+                stop = len(text) if stop < 0 else stop
+                out.append(np.array([xxhash.xxh3_64_intdigest(text[at:stop])], np.uint64))
+                at = stop + 1
+                continue
+        piece = np.frombuffer(text, np.uint8, stop - at, at)
+        edges = np.flatnonzero(np.diff(piece != 32, prepend=False, append=False))
+        starts, ends = edges[::2], edges[1::2]
+        sums = np.zeros(len(piece) + 1, np.uint64)
+        np.cumsum(BYTES[piece] * POWERS[: len(piece)], out=sums[1:])
+        h = (sums[ends] - sums[starts]) * INVERSES[starts] + (ends - starts).astype(np.uint64)
+        h ^= h >> np.uint64(33)
+        h *= np.uint64(0xC2B2AE3D27D4EB4F)
+        h ^= h >> np.uint64(29)
+        for k in np.flatnonzero(ends - starts > LONG_WORD):
+            h[k] = xxhash.xxh3_64_intdigest(text[at + starts[k] : at + ends[k]])
+        out.append(h)
+        at = stop + 1
+    return np.concatenate(out) if len(out) > 2 else out[-1]
+
+
+def shingles(text: bytes | None, n: int = WORDS) -> np.ndarray:
     """The sorted distinct shingle hashes of a text."""
-    words = text.translate(TO_WORDS).split() if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(words) < n:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
-    ids = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    size = len(ids) - n + 1
-    h = np.zeros(size, np.uint64)
-    for k in range(n):
+    ids = word_hashes(text)
+    if not len(ids):
+        return ids
+    width = min(n, len(ids))
+    size = len(ids) - width + 1
+    h = np.full(size, width if width < n else 0, np.uint64)
+    for k in range(width):
         h = (h + ids[k : k + size]) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(32)
     return np.unique(h)
 
 
-def fingerprint(s: np.ndarray) -> int:
-    return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
+def fingerprint(s: np.ndarray, seed: int = 0) -> int:
+    return xxhash.xxh3_64_intdigest(s.tobytes(), seed=seed) - (1 << 63)
+
+
+def identity(s: np.ndarray, collided: frozenset) -> int:
+    """The class of a set: its fingerprint, or a second one if the first is shared by unequal sets."""
+    fp = fingerprint(s)
+    return fingerprint(s, 1) if fp in collided else fp
 
 
 def signature(s: np.ndarray) -> np.ndarray:
@@ -100,25 +138,27 @@ def _raw(batch: pa.RecordBatch, name: str) -> list:
 
 
 def _describe(kind: pa.DataType):
-    """Rows (kind 0) of doc_id, n, fp, and (kind 1) the shingles that occur in more than one class of about COUNTED shingles, with their number."""
-    fields = pa.schema([("kind", pa.int8()), ("doc_id", kind), ("n", pa.int64()), ("fp", pa.int64())])
+    """Rows (kind 0) of doc_id, n, both fingerprints, and (kind 1) the shingles that occur in more than one class of about COUNTED
+    shingles, with their number."""
+    fields = pa.schema([("kind", pa.int8()), ("doc_id", kind), ("n", pa.int64()), ("fp", pa.int64()), ("fp2", pa.int64())])
 
     def counted(sets: list) -> pa.RecordBatch:
         values, counts = np.unique(np.concatenate(sets), return_counts=True)
         twice = counts > 1
         k = int(twice.sum())
-        return pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int8)), pa.nulls(k, kind), pa.array(counts[twice].astype(np.int64)), pa.array(values[twice].view(np.int64))], schema=fields)
+        return pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int8)), pa.nulls(k, kind), pa.array(counts[twice].astype(np.int64)), pa.array(values[twice].view(np.int64)), pa.nulls(k, pa.int64())], schema=fields)
 
     def run(batches):
-        hashes, seen, sets, size = _Hashes(), set(), [], 0
+        seen, sets, size = set(), [], 0
         for batch in batches:
-            ns, fps = [], []
+            ns, fps, others = [], [], []
             for raw in _raw(batch, "text"):
-                s = shingles(raw, hashes)
+                s = shingles(raw)
                 ns.append(len(s))
                 fps.append(fingerprint(s) if len(s) else None)
+                others.append(fingerprint(s, 1) if len(s) else None)
                 if len(s) > 1 and fps[-1] not in seen:
-                    if len(seen) > 500_000:
+                    if len(seen) > SEEN:
                         seen.clear()
                     seen.add(fps[-1])
                     sets.append(s)
@@ -126,7 +166,7 @@ def _describe(kind: pa.DataType):
                     if size > COUNTED:
                         yield counted(sets)
                         sets, size = [], 0
-            yield pa.RecordBatch.from_arrays([pa.array([0] * len(ns), pa.int8()), batch.column("doc_id"), pa.array(ns, pa.int64()), pa.array(fps, pa.int64())], schema=fields)
+            yield pa.RecordBatch.from_arrays([pa.array([0] * len(ns), pa.int8()), batch.column("doc_id"), pa.array(ns, pa.int64()), pa.array(fps, pa.int64()), pa.array(others, pa.int64())], schema=fields)
         if sets:
             yield counted(sets)
 
@@ -158,20 +198,20 @@ def _keys(shared, boundary: int):
     """Rows key, fp, place (size, whether a light key, and position of the key), for each class once in a task."""
 
     def run(batches):
-        hot, rank = shared.value
-        hashes, seen = _Hashes(), set()
+        hot, rank, collided = shared.value
+        seen = set()
         pairs = {k: np.triu_indices(k, 1) for k in range(2, boundary // 4 + 3)}
         for batch in batches:
             keys, fps, places = [], [], []
             for raw in _raw(batch, "text"):
-                s = shingles(raw, hashes)
+                s = shingles(raw)
                 n = len(s)
                 if n < 2:  # only an equal set is similar to a single shingle
                     continue
-                fp = fingerprint(s)
+                fp = identity(s, collided)
                 if fp in seen:
                     continue
-                if len(seen) > 500_000:
+                if len(seen) > SEEN:
                     seen.clear()
                 seen.add(fp)
                 k, c = n // 4, 1 + n // 16
@@ -249,22 +289,21 @@ def _lists(batches):
         yield from emit(held, done, held.shape[1])
 
 
-def _sets(shared):
+def _sets(shared, order):
     """fp, shingles and signature of the classes that are wanted (all without a list), each once in a task."""
 
     def run(batches):
-        wanted = shared.value if shared else None
-        hashes, seen = _Hashes(), set()
+        wanted, collided, seen = shared.value if shared else None, order.value[2], set()
         for batch in batches:
             fps, sets, signs = [], [], np.zeros((batch.num_rows, SIGNATURE), np.int64)
             for raw in _raw(batch, "text"):
-                s = shingles(raw, hashes)
+                s = shingles(raw)
                 if len(s) < 2:
                     continue
-                fp = fingerprint(s)
+                fp = identity(s, collided)
                 if fp in seen or (wanted is not None and not (len(wanted) and wanted[min(np.searchsorted(wanted, fp), len(wanted) - 1)] == fp)):
                     continue
-                if len(seen) > 500_000:
+                if len(seen) > SEEN:
                     seen.clear()
                 seen.add(fp)
                 signs[len(fps)] = signature(s)
@@ -285,14 +324,14 @@ def _verify(batches):
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
-def sets_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+def sets_of(texts: DataFrame, wanted: DataFrame, order) -> DataFrame:
     """fp, bin (its shingles), signature of each class in wanted (fp), stored."""
     spark = texts.sparkSession
     shared, wanted = None, stored(wanted.distinct(), "jaccard-wanted")
     if wanted.count() <= PREFILTER:
         shared = spark.sparkContext.broadcast(np.sort(np.array([r.fp for r in wanted.toLocalIterator()], np.int64)))
     with arrow_batches(spark, BATCH):
-        return stored(texts.mapInArrow(_sets(shared), f"fp long, bin binary, {', '.join(f'{c} long' for c in SIGNS)}").groupBy("fp").agg(*[F.first(c).alias(c) for c in ("bin", *SIGNS)]), "jaccard-sets")
+        return stored(texts.mapInArrow(_sets(shared, order), f"fp long, bin binary, {', '.join(f'{c} long' for c in SIGNS)}").groupBy("fp").agg(*[F.first(c).alias(c) for c in ("bin", *SIGNS)]), "jaccard-sets")
 
 
 def verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -360,12 +399,14 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     from pyspark.sql.pandas.types import to_arrow_type
 
     with arrow_batches(spark, BATCH):
-        told = stored(texts.mapInArrow(_describe(to_arrow_type(kind)), f"kind tinyint, doc_id {kind.simpleString()}, n long, fp long"), "jaccard-docs")
-    rows = told.where("kind = 0")
+        told = stored(texts.mapInArrow(_describe(to_arrow_type(kind)), f"kind tinyint, doc_id {kind.simpleString()}, n long, fp long, fp2 long"), "jaccard-docs")
+    # unequal sets of one fingerprint: about (classes ** 2) / 2 ** 65 of them
+    collided = [r.fp for r in told.where("kind = 0 and fp is not null").groupBy("fp").agg(F.min("fp2").alias("x"), F.max("fp2").alias("y")).where("x <> y").select("fp").toLocalIterator()]
+    rows = told.where("kind = 0").withColumn("fp", F.when(F.col("fp").isin(collided), F.col("fp2")).otherwise(F.col("fp")) if collided else F.col("fp"))
     frequent = told.where("kind = 1").groupBy("fp").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "fp").limit(MOST).collect()
     values = np.array([r.fp for r in frequent], np.int64).view(np.uint64)
     order = np.argsort(values)
-    shared = spark.sparkContext.broadcast((values[order], np.array([r.n for r in frequent], np.int64)[order]))
+    shared = spark.sparkContext.broadcast((values[order], np.array([r.n for r in frequent], np.int64)[order], frozenset(collided)))
     # sizes beyond the largest boundary cost alike, so that a few rows tell all
     width = F.least("n", F.lit(2 * LIMITS[-1])).alias("n")
     sizes = [(r.n, r.c) for r in rows.where("n > 1").groupBy(width).agg(F.approx_count_distinct("fp").alias("c")).collect()]
@@ -377,7 +418,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     met = stored(listed.where("kind = 0").groupBy("a", "b").agg(F.sum("weight").alias("weight"), F.max("place").alias("needed")), "jaccard-met")
     long = stored(listed.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("fp"), "place").distinct(), "jaccard-long")
     pairs = met.where("weight >= needed").select("a", "b")
-    sets = sets_of(texts, pairs.select(F.explode(F.array("a", "b")).alias("fp")).unionByName(long.select("fp")))
+    sets = sets_of(texts, pairs.select(F.explode(F.array("a", "b")).alias("fp")).unionByName(long.select("fp")), shared)
     forest = verified(sets, pairs)
     if long.limit(1).count():
         long = stored(long.join(sets.select("fp", *SIGNS), "fp"), "jaccard-signed")
@@ -386,11 +427,16 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
             forest = star(forest, "jaccard-edges", STEPS)
             forest = forest.unionByName(verified(sets, stored(_at_hubs(_open(long, forest, turn), turn), "jaccard-more")))
         forest = star(forest, "jaccard-edges")
-        rest = stored(_open(long, forest, ROUNDS).drop("p", "r", "n"), "jaccard-rest")
-        x, y = rest.alias("x"), rest.alias("y")
+        # pairs between components, of which one at least is not the list's largest; parts of a long list meet in tasks of their own
+        rest = stored(_open(long, forest, ROUNDS).withColumn("apart", F.col("component") != F.col("p.component")).drop("p", "r"), "jaccard-rest")
+        crowd = stored(rest.groupBy("key").agg(F.ceil(F.count_if("apart") * F.count("*") / MEETING).cast("int").alias("parts"), F.lit(1).alias("n")).where("parts > 1"), "jaccard-crowd")
+        rest = lookup(rest.drop("n"), crowd, "key", "n").withColumn("parts", F.coalesce("parts", F.lit(1)))
+        x = rest.where("apart").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("x")
+        y = rest.withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")).alias("y")
         room, needed, weight, _ = _room_of("x.", "y.")
-        again = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.fp") < F.col("y.fp")) & (F.col("x.component") != F.col("y.component")) & room)
-        again = again.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"), needed.alias("needed"), weight.alias("weight"))
+        same = (F.col("x.key") == F.col("y.key")) & (F.col("x.part") == F.col("y.part"))
+        again = x.join(y, same & (~F.col("y.apart") | (F.col("x.fp") < F.col("y.fp"))) & (F.col("x.component") != F.col("y.component")) & room)
+        again = again.select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b"), needed.alias("needed"), weight.alias("weight"))
         again = again.groupBy("a", "b").agg(F.sum("weight").alias("more"), F.max("needed").alias("needed"))
         # the lists that were counted before may count twice; that only adds candidates
         open_pairs = again.join(met.select("a", "b", "weight"), ["a", "b"], "left").where("coalesce(weight, 0) < needed and more + coalesce(weight, 0) >= needed")
