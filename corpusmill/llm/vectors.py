@@ -23,6 +23,7 @@ import sys
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 COSINE, PARTS, CHUNK = 0.93, 4, 3000
 #: A label's grid has a further dimension when it has more classes than this.
-GRID = (600, 8000, 120_000)
+GRID = (0, 8000, 120_000)
 
 
 def rotation(dim: int) -> np.ndarray:
@@ -47,8 +48,8 @@ def blocks_of(dim: int, parts: int) -> list[slice]:
     return [slice(int(a), int(b)) for a, b in itertools.pairwise(edges)]
 
 
-def units(vectors: list) -> tuple[np.ndarray, np.ndarray]:
-    v = np.array([np.asarray(x, np.float64) for x in vectors])
+def units(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    v = vectors.astype(np.float64)
     v = v / np.abs(v).max(1, keepdims=True)  # so that squares neither overflow nor vanish
     return v, v / np.sqrt((v * v).sum(1, keepdims=True))
 
@@ -58,34 +59,40 @@ def _shares(dim: int, parts: int, cosine: float) -> list[float]:
 
 
 def _placer(cosine: float, parts: int):
+    """node, label, dim, block, cell (up to three coordinates, 21 bits each), home, cnt, vec (its bytes) for each cell a row visits."""
+
     def run(batches):
         for p in batches:
-            for (dim, depth), g in p.groupby(["dim", "depth"]):
-                _, u = units(list(g["vec"]))
-                y = u @ rotation(dim).T
-                out = {k: [] for k in ("row", "block", "cell", "home")}
+            dims, depths = (p.column(c).to_numpy(zero_copy_only=False) for c in ("dim", "depth"))
+            for dim, depth in sorted({*zip(dims.tolist(), depths.tolist(), strict=True)}):
+                g = p.filter(pa.array((dims == dim) & (depths == depth)))
+                vectors = g.column("vec").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+                y = units(vectors)[1] @ rotation(dim).T
+                row, block, cell, home = [], [], [], []
                 for b, (part, share) in enumerate(zip(blocks_of(dim, parts), _shares(dim, parts, cosine), strict=True)):
                     d = min(depth, part.stop - part.start)
-                    cells = np.floor(y[:, part.start : part.start + d] / (np.sqrt(share) * (1 + 1e-6))).astype(np.int64)
+                    cells = np.floor(y[:, part.start : part.start + d] / (np.sqrt(share) * (1 + 1e-6))).astype(np.int64) + (1 << 20)
                     for step in itertools.product((-1, 0, 1), repeat=d):
                         if step >= (0,) * d:  # itself and half of the neighbours
-                            to = cells + np.array(step, np.int64).reshape(1, d)
-                            out["row"].append(np.arange(len(g)))
-                            out["block"].append(np.full(len(g), b))
-                            out["cell"].append(np.array([",".join(map(str, x)) for x in to.tolist()], object))
-                            out["home"].append(np.full(len(g), not any(step)))
-                row = np.concatenate(out["row"])
-                at = g.iloc[row]
-                yield pd.DataFrame({"node": at["node"].to_numpy(), "label": at["label"].to_numpy(), "dim": dim, "block": np.concatenate(out["block"]), "cell": np.concatenate(out["cell"]), "home": np.concatenate(out["home"]), "cnt": at["cnt"].to_numpy(), "vec": at["vec"].to_numpy()})
+                            row.append(np.arange(len(y)))
+                            block.append(np.full(len(y), b, np.int32))
+                            cell.append(((cells + np.array(step, np.int64)) << (21 * np.arange(d))).sum(1))
+                            home.append(np.full(len(y), not any(step)))
+                row = pa.array(np.concatenate(row))
+                raw = pa.array([v.tobytes() for v in vectors], pa.binary())
+                made = {"node": g.column("node").take(row), "label": g.column("label").take(row), "dim": pa.array(np.full(len(row), dim, np.int32)), "block": pa.array(np.concatenate(block)), "cell": pa.array(np.concatenate(cell)), "home": pa.array(np.concatenate(home)), "cnt": g.column("cnt").take(row), "vec": raw.take(row)}
+                yield pa.RecordBatch.from_arrays(list(made.values()), names=list(made))
 
     return run
 
 
-def _meeting(cosine: float, parts: int):
+def _meeting(cosine: float, parts: int, kind: str):
+    """Meetings of the rows of a cell; kind is the vectors' number type."""
+
     def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
         block, i, j = int(g["block"].iloc[0]), int(g["i"].iloc[0]), int(g["j"].iloc[0])
         dim = int(g["dim"].iloc[0])
-        v, u = units(list(g["vec"]))
+        v, u = units(np.frombuffer(b"".join(g["vec"]), kind).reshape(-1, dim))
         norm = np.sqrt((v * v).sum(1))
         y = u @ rotation(dim).T
         parts_, shares = blocks_of(dim, parts), _shares(dim, parts, cosine)
@@ -148,13 +155,15 @@ def near_duplicates(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     by_label = stored(classes.groupBy("label").agg(F.count("*").alias("n")), "vec-labels")
     depth = sum((F.col("m") > g).cast("int") for g in GRID)
     leveled = lookup(classes.drop("least"), by_label.withColumn("m", F.col("n")), "label", "n").withColumn("depth", depth)
-    placed = leveled.select("node", "label", "vec", "cnt", "dim", "depth").mapInPandas(_placer(cosine, parts), f"node long, label string, dim int, block int, cell string, home boolean, cnt long, vec {dict(classes.dtypes)['vec']}")
+    kind = "f4" if dict(classes.dtypes)["vec"] == "array<float>" else "f8"
+    vec = F.col("vec") if kind == "f4" else F.col("vec").cast("array<double>")
+    placed = leveled.select("node", "label", vec.alias("vec"), "cnt", "dim", "depth").mapInArrow(_placer(cosine, parts), "node long, label string, dim int, block int, cell long, home boolean, cnt long, vec binary")
     placed = placed.withColumn("place", F.xxhash64("label", "dim", "block", "cell"))
     crowded = stored(placed.groupBy("place").agg(F.count("*").alias("n")).where(F.col("n") > chunk).withColumn("chunks", F.ceil(F.col("n") / chunk).cast("int")), "vec-crowded")
     dealt = lookup(placed, crowded, "place", "n").withColumn("chunks", F.coalesce("chunks", F.lit(1))).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     dealt = dealt.select("place", "block", "dim", "node", "vec", "cnt", "home", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
-    met = stored(dealt.groupBy("place", "block", "i", "j").applyInPandas(_meeting(cosine, parts), "node long, other long, degree long"), "vec-met")
+    met = stored(dealt.groupBy("place", "block", "i", "j").applyInPandas(_meeting(cosine, parts, kind), "node long, other long, degree long"), "vec-met")
     degrees = met.groupBy("node").agg(F.sum("degree").alias("degree"))
     linked = components(met.select(F.col("node").alias("a"), F.col("other").alias("b")), "vec-edges")
     joined = classes.select("node", "cnt", "least").join(degrees, "node", "left").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -273,7 +273,7 @@ def test_warc(spark, tmp_path):
     assert warc.read(spark, [r.path for r in warc.write(marked.limit(0), f"file://{tmp_path}/0").collect()]).count() == 0
 
 
-@pytest.mark.parametrize("chunk,grid", [(3000, vectors.GRID), (20, (1, 50, 100))])
+@pytest.mark.parametrize("chunk,grid", [(3000, vectors.GRID), (20, (0, 50, 100))])
 def test_vectors(spark, chunk, grid, monkeypatch):
     monkeypatch.setattr(vectors, "GRID", grid)
     rng = np.random.default_rng(3)
