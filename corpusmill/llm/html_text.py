@@ -16,6 +16,7 @@ from __future__ import annotations
 import html as entities
 import re
 import sys
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -27,6 +28,11 @@ from .common import read_table
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?>"[^"]*"|'[^']*'|[^>"']+)*)>|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>|<|[^<]+""", re.S)
+#: The same where quotes do not count, and where no `>` is left.
+UNQUOTED = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>[^>]*)>|(?P<end2>(?P<tag2>(?P<attrs2>(?!))))|<|[^<]+""", re.S)
+TAIL = re.compile(r"""<!--.*\Z|<!\[CDATA\[.*\Z|(?P<end>(?P<tag>(?P<attrs>(?P<end2>(?P<tag2>(?P<attrs2>(?!)))))))|<|[^<]+""", re.S)
+#: Tags of a page whose quotes never close, after which quotes no longer hide a `>`, so that reading stays linear.
+BROKEN = 64
 ATTR = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|\b(hidden)\b""")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rb rp rt ruby s samp small span strike strong sub sup time tt u var wbr td th".split())
@@ -130,6 +136,17 @@ def _plain_end(page: str, tag: str, at: int) -> int:
     return first
 
 
+def _tokens(page: str, at: int, broken: list[int]) -> Iterator[re.Match]:
+    """Tags, comments and pieces of text from `at` on; broken counts tags whose quotes never close."""
+    last, end = page.rfind(">"), len(page)
+    while at < end:
+        m = (TAIL if at > last else TOKEN if broken[0] < BROKEN else UNQUOTED).match(page, at)
+        if m["tag2"]:
+            broken[0] += 1
+        at = m.end()
+        yield m
+
+
 def blocks(page: str) -> list[Block]:
     """The page's blocks in order, empty ones left out."""
     out: list[Block] = []
@@ -138,16 +155,19 @@ def blocks(page: str) -> list[Block]:
     drops = comments = mains = region = links = 0
     new = True
     raw_end = None
-    tokens = TOKEN.finditer(page)
+    broken, endless = [0], set()  # endless: raw elements that no end tag closes from here on
+    tokens = _tokens(page, 0, broken)
     while (m := next(tokens, None)) is not None:
         tag = m["tag"] or m["tag2"]
         ends = bool(m["end"] or m["end2"])
         if tag and not ends and ((plain := tag.lower()) == "script" or plain in PLAIN) and not (m["attrs"] or m["attrs2"] or "").rstrip().endswith("/"):
             new = new or not raw_end
-            at = _plain_end(page, plain, m.end())
+            at = -1 if plain in endless else _plain_end(page, plain, m.end())
             if at >= 0 and (after := page.find(">", at)) >= 0:
-                tokens = TOKEN.finditer(page, after + 1)
-            elif not raw_end:
+                tokens = _tokens(page, after + 1, broken)
+                continue
+            endless.add(plain)
+            if not raw_end:
                 break
             continue
         if raw_end:

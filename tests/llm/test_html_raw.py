@@ -1,5 +1,7 @@
 """Page text around elements whose content holds no tags."""
 
+import time
+
 import pytest
 
 from corpusmill.llm import html_text
@@ -31,3 +33,18 @@ def test_less_than_a_letter_keeps_the_article(before):
 
 def test_without_an_end():
     assert html_text.extract(f"{ARTICLE}<script>i<n") == html_text.extract(f"{ARTICLE}<script>i<n</script") == WANT
+
+
+@pytest.mark.parametrize("page", ["<a " * 330_000, '<a ">" ' * 40_000, '<a "' * 250_000, "<svg>" + "<script>" * 120_000, "<!" * 500_000, "<!--" * 250_000])
+def test_broken_pages_take_linear_time(page):
+    began = time.process_time()
+    html_text.extract(page + "\n")
+    assert time.process_time() - began < 20
+
+
+def test_rows(spark):
+    html = "<p>only this</p>"
+    rows = [(1, html, "x", "y"), (1, html, "x", "y"), (None, None, None, None), (2, "", "x", None), (3, "<p>a" + " b" * 200_000, "x", "y")]
+    df = spark.createDataFrame(rows, "page_id long, html string, _text string, text string")
+    got = sorted(((r.page_id, r._text, r.text) for r in html_text.extract_text(df).collect()), key=repr)
+    assert got == sorted([(1, "only this", "y"), (1, "only this", "y"), (None, "", None), (2, "", None), (3, "a" + " b" * 200_000, "y")], key=repr)
