@@ -4,6 +4,7 @@ The base kinds (assign, access, hex) are patterns. The added kind `guess` covers
 a sign such as `:`, `=`, `is` or `->` and that no pattern above has found: a value counts if guessing it would take at least
 10 ** min_cost attempts. That cost is the least over all ways to cut the value into dictionary words, dates, repeats, keyboard
 walks and brute-force spans, found by dynamic programming over its positions, so that `password1111` or `qwerty2020` cost little.
+Values of `assign` spans get their cost too, without being judged by it.
 Values of any length count by that cost. One without digits and inner symbols that reads like a word, by its letter pairs, costs
 no more than a guess among 10 ** 6 words for each 24 letters, so that `secret is knowledge` gives no span; random letters do.
 
@@ -16,13 +17,15 @@ import math
 import re
 import sys
 import unicodedata
+from bisect import bisect_left
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import read_table, without
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -40,7 +43,7 @@ CONTEXT = re.compile(
 )
 CONTEXT_TRIGGERS = ("pass", "pwd", "secret", "token", "key", "credential", "bearer", "auth")
 
-#: Words by rank, the commonest in passwords first; fixed values, to be extended by the caller.
+#: Words by rank, the commonest in passwords first; fixed values. scan() takes other lists.
 WORDS = (
     "password admin welcome login letmein secret master dragon monkey sunshine princess football baseball iloveyou love shadow "
     "superman batman trustno hello freedom whatever starwars computer michael jordan hunter ranger buster soccer hockey killer "
@@ -60,8 +63,14 @@ def _neighbours() -> dict[str, set[str]]:
 
 NEXT_TO = _neighbours()
 DATE = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])(?:[-/.]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:(?:19|20)\d\d|\d\d)")
-RANKS = {w: k + 1 for k, w in reversed(list(enumerate(WORDS)))}
-LONGEST = max(map(len, WORDS))
+
+
+def ranked(words: Sequence[str]) -> tuple[dict[str, int], int]:
+    """The rank of each word, and the longest word's length."""
+    return {w.lower(): k + 1 for k, w in reversed(list(enumerate(words)))}, max(map(len, words), default=0)
+
+
+RANKS, LONGEST = ranked(WORDS)
 #: How rare a letter (column) is after another one (row), a to z, in quarters of log10, from English words; 9 is the most.
 PAIRS = "95469969698364969453879979|48784999469299499557499979|39693994595699399683599989|49962989399799599758599979|69537779899564978336978699|49994499399599399596499969|59992964499664599567499999|39992999499789399685899989|67565669999552479754969997|58882888888888388858488888|59992979399597779949696979|49863999399499499966699949|35992999399869449969599999|59544739599997699943779999|86659989798552659365566999|49983998699499459365699979|99999999999699999649199999|49762879498867499655788979|69593895398799558943599989|59992995299799599456699969|56575769599453959454999999|39991999399999799999999999|39984994399695499458999999|49474799499979939773999979|79767979399955539934996996|39962999399999499999999969".split("|")
 #: The mean of them, as log10, beyond which a value is no word; letters of one word at most; log10 of all words.
@@ -116,36 +125,48 @@ def word_cost(value: str) -> float:
     return WORD_COST * math.ceil(len(value) / WORD_LETTERS)
 
 
-def spans(text: str | None, min_cost: float = MIN_COST) -> list[tuple[int, int, int]]:
-    """(start, kind's place in KINDS, end) of all secrets, in that order."""
+def spans(text: str | None, min_cost: float = MIN_COST, ranks: dict[str, int] = RANKS, longest: int = LONGEST) -> list[tuple[int, int, int, float | None]]:
+    """(start, kind's place in KINDS, end, log10 of the value's guesses where it has a credential word) of all secrets, in that order."""
     if not text:
         return []
     low, out = text.lower(), []
     if any(t in low for t in TRIGGERS):
-        out += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= MIN_ASSIGN]
+        out += [(m.start(), 0, m.end(), guess_cost(m[2], ranks, longest)) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= MIN_ASSIGN]
     if "AKIA" in text:
-        out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
-    out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
+        out += [(m.start(), 1, m.end(), None) for m in ACCESS.finditer(text)]
+    out += [(m.start(), 2, m.end(), None) for m in HEX.finditer(text)]
     if any(t in low for t in CONTEXT_TRIGGERS):
-        taken = sorted((s, e) for s, _, e in out)
+        starts, ends = [], []  # what is taken, as disjoint ranges in order
+        for s, _, e, _ in sorted(out, key=lambda x: x[0]):
+            if ends and s <= ends[-1]:
+                ends[-1] = max(ends[-1], e)
+            else:
+                starts.append(s)
+                ends.append(e)
         for m in CONTEXT.finditer(text):
             value = m["value"].rstrip(".!?)]}")
             start, end = m.start("value"), m.start("value") + len(value)
-            if any(s < end and start < e for s, e in taken):
+            before = bisect_left(starts, end) - 1  # the last range that starts before the value's end
+            if before >= 0 and ends[before] > start:
                 continue
             mixed = any(c.isdigit() for c in value) or any(not c.isalnum() for c in value[1:-1])
-            if min(guess_cost(value), math.inf if mixed else word_cost(value)) >= min_cost:
-                out.append((start, 3, end))
-    return sorted(out)
+            cost = min(guess_cost(value, ranks, longest), math.inf if mixed else word_cost(value))
+            if cost >= min_cost:
+                out.append((start, 3, end, cost))
+    return sorted(out, key=lambda x: x[:3])
 
 
-def scan(docs: DataFrame, text: str = "text", min_cost: float = MIN_COST) -> DataFrame:
-    """docs with the added column _secrets: array of (kind, start, end) in code points, by start, then kind."""
+def scan(docs: DataFrame, text: str = "text", min_cost: float = MIN_COST, words: Sequence[str] = WORDS) -> DataFrame:
+    """docs with the added column _secrets: array of (kind, start, end, cost) in code points, by start, then kind; a column of that
+    name is replaced. cost is the log10 of the guesses for the value, of kinds `assign` and `guess`. `words` are the dictionary, the
+    commonest first."""
+    ranks, longest = ranked(words)
 
-    @F.pandas_udf("array<struct<kind: string, start: int, end: int>>")
+    @F.pandas_udf("array<struct<kind: string, start: int, end: int, cost: double>>")
     def find(texts: pd.Series) -> pd.Series:
-        return pd.Series([[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in spans(t, min_cost)] for t in texts])
+        return pd.Series([[{"kind": KINDS[k], "start": s, "end": e, "cost": c} for s, k, e, c in spans(t, min_cost, ranks, longest)] for t in texts])
 
+    docs = without(docs, "_secrets")
     return docs.withColumn("_secrets", find(F.col(text)))
 
 
@@ -161,4 +182,4 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.size(F.filter("_secrets", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     counts = [count(k) for k in KINDS]
-    return found.select("doc_id", *counts[:3], F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("_secrets")).alias("spans"), counts[3])
+    return found.select("doc_id", *counts[:3], F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("_secrets")).alias("spans"), counts[3], F.array_min(F.transform("_secrets", lambda x: x["cost"])).alias("least_cost"))
