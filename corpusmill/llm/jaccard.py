@@ -134,6 +134,11 @@ def signature(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _lean() -> None:
+    """From now on a worker's Arrow memory goes back to the system as soon as it is free."""
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
 def _raw(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(name).cast(pa.binary()).to_pylist()
 
@@ -151,6 +156,7 @@ def _describe(kind: pa.DataType):
         return pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int8)), pa.nulls(k, kind), pa.array(counts.astype(np.int64) + 1), pa.array(values.view(np.int64)), pa.nulls(k, pa.int64())], schema=fields)
 
     def run(batches):
+        _lean()
         seen, held, size = set(), np.empty(COUNTED, np.uint64), 0
         for batch in batches:
             ns, fps, others = [], [], []
@@ -201,6 +207,7 @@ def _keys(shared, boundary: int):
     """Rows key, fp, place (size, whether a light key, and position of the key), for each class once in a task."""
 
     def run(batches):
+        _lean()
         hot, rank, collided = shared.value
         seen = set()
         pairs = {k: np.triu_indices(k, 1) for k in range(2, boundary // 4 + 3)}
@@ -248,6 +255,7 @@ def _room(pa_: np.ndarray, pb: np.ndarray) -> np.ndarray:
 def _lists(batches):
     """Sorted rows of keys in; meetings (kind 0: a, b, their weight, place = the weight needed) and rows of long lists (kind 1: a =
     key, b = fp, place) out. A light key alone is enough."""
+    _lean()
     held = np.zeros((3, 0), np.int64)
     done = 0  # rows of held that were centers already
     look = LIST + 1
@@ -296,6 +304,7 @@ def _sets(shared, order):
     """fp, shingles and signature of the classes that are wanted (all without a list), each once in a task."""
 
     def run(batches):
+        _lean()
         wanted, collided, seen = shared.value if shared else None, order.value[2], set()
         for batch in batches:
             fps, sets, signs = [], [], np.zeros((batch.num_rows, SIGNATURE), np.int64)
@@ -325,6 +334,7 @@ def _held(bin: bytes) -> np.ndarray:
 
 
 def _verify(batches):
+    _lean()
     for batch in batches:
         ok = []
         for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
