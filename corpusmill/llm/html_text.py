@@ -23,7 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import read_table, without
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -312,13 +312,13 @@ def extract(page: str | None) -> str:
 
 
 def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:
-    """pages with the added column _text."""
+    """pages with the added column _text; a column of that name is replaced."""
 
     @F.pandas_udf("string")
     def run(column: pd.Series) -> pd.Series:
         return pd.Series([extract(x) for x in column], dtype=object)
 
-    return pages.withColumn("_text", run(F.col(html)))
+    return without(pages, "_text").withColumn("_text", run(F.col(html)))
 
 
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
