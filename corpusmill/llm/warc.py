@@ -5,8 +5,12 @@ Each writing task makes archives of at most about `archive_bytes` of payload. A
 frame of its own, compressed with it, so that records can be read one by one. Of records with equal payloads of at least
 `min_revisit` bytes the one with the largest id is the response and the others are revisits, which hold no payload.
 
+A record's id is made from the page's id, digest and a number for its row, so that ids are unique and a revisit can name its
+response; a response's block is an HTTP message around the payload.
+
 Archives are written under a name of their own attempt in a shared folder; what counts is the list of archives that the
-successful tasks returned, so repeated or lost attempts leave nothing in the result. Reading goes through Spark's binary files.
+successful tasks returned, so repeated or lost attempts leave nothing in the result. Reading goes through Spark's binary files of
+the whole folder, joined with that list.
 
 Defined results: null is an empty payload; rows with equal id and payload are all the response; a null id is a page like
 others, and comes before all ids; an empty table writes no archive and reads back an empty result.
@@ -18,6 +22,7 @@ import hashlib
 import struct
 import sys
 import uuid
+from datetime import datetime, timezone
 
 import zstandard
 from pyspark import cloudpickle
@@ -33,15 +38,24 @@ MIN_REVISIT, ARCHIVE_BYTES, SAMPLE_BYTES, DICT_BYTES = 1000, 32 << 20, 2 << 20,
 RECORD = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool, digest: str | None = None) -> bytes:
+#: What stands around a response's payload.
+HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
+
+
+def record_id(page_id: int | None, digest: str, number: int = 0) -> str:
+    """The same for the same page and payload; number tells rows that repeat both apart."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}:{digest}:{number}')}>"
+
+
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool, digest: str | None = None, number: int = 0, date: str = "1970-01-01T00:00:00Z") -> bytes:
     """One WARC/1.1 record."""
     digest = digest or hashlib.sha1(payload).hexdigest()
-    body = b"" if revisit else payload
+    body = b"" if revisit else HTTP % len(payload) + payload
     uri = (url or "").replace("\r", "%0D").replace("\n", "%0A")
-    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Target-URI: {uri}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {len(payload)}"]
+    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {record_id(page_id, digest, number)}", f"WARC-Date: {date}", f"WARC-Target-URI: {uri}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Page-ID: {'' if page_id is None else page_id}", f"X-Payload-Length: {len(payload)}"]
     if revisit:
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers_to}>"]
-    lines += ["Content-Type: text/html", f"Content-Length: {len(body)}"]
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {record_id(refers_to, digest)}", f"X-Refers-To-Page: {refers_to}"]
+    lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(body)}"]
     return "\r\n".join(lines).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + body + b"\r\n\r\n"
 
 
@@ -95,15 +109,17 @@ def parsed(raw: bytes) -> dict:
     lines = head.decode("utf-8", "surrogatepass").split("\r\n")
     h = dict(x.split(": ", 1) for x in lines[1:])
     body = rest[: int(h["Content-Length"])]
-    revisit = h["WARC-Type"] == "revisit"
+    revisit, page = h["WARC-Type"] == "revisit", None
     digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
-    if not revisit and (hashlib.sha1(body).hexdigest() != digest or rest[len(body) :] != b"\r\n\r\n"):
-        raise ValueError(f"record {h['WARC-Record-ID']} is damaged")
+    if not revisit:
+        page = body.partition(b"\r\n\r\n")[2]
+        if hashlib.sha1(page).hexdigest() != digest or rest[len(body) :] != b"\r\n\r\n":
+            raise ValueError(f"record {h['WARC-Record-ID']} is damaged")
 
-    def number(urn: str | None) -> int | None:
-        return int(urn[len("<urn:page:") : -1]) if urn and urn != "<urn:page:>" else None
+    def number(text: str | None) -> int | None:
+        return int(text) if text else None
 
-    return {"page_id": number(h["WARC-Record-ID"]), "payload_bytes": int(h["X-Payload-Length"]), "payload_digest": digest, "record_type": h["WARC-Type"], "refers_to": number(h.get("WARC-Refers-To")), "url": h["WARC-Target-URI"], "payload": None if revisit else body}
+    return {"page_id": number(h["X-Page-ID"]), "payload_bytes": int(h["X-Payload-Length"]), "payload_digest": digest, "record_type": h["WARC-Type"], "refers_to": number(h.get("X-Refers-To-Page")), "url": h["WARC-Target-URI"], "payload": page}
 
 
 def payload(html: str) -> Column:
@@ -122,7 +138,8 @@ def with_revisits(pages: DataFrame, page_id: str = "page_id", html: str = "html"
 
 def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", html: str = "html", archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Writes pages (with _refers_to, _revisit) as archives in folder, which all executors share; returns path, n_records of each
-    archive, stored."""
+    archive, stored. All records have the time of this call as their date."""
+    date = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def run(batches):
         import pandas as pd
@@ -140,9 +157,11 @@ def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "u
 
         held, size = [], 0
         for p in batches:
-            for i, u, h, to, again in zip(p["i"], p["u"], p["h"], p["to"], p["again"], strict=True):
+            for i, u, h, to, again, row in zip(p["i"], p["u"], p["h"], p["to"], p["again"], p["row"], strict=True):
                 body = b"" if h is None else bytes(h)
-                one = record(None if pd.isna(i) else int(i), u, body, None if pd.isna(to) else int(to), bool(again))
+                # a repeated row would repeat its id; small responses and revisits count by row, responses that are referred to do not
+                number = 0 if not again and len(body) >= MIN_REVISIT else int(row) + 1
+                one = record(None if pd.isna(i) else int(i), u, body, None if pd.isna(to) else int(to), bool(again), number=number, date=date)
                 held.append(one)
                 size += len(one)
                 if size >= archive_bytes:
@@ -151,14 +170,15 @@ def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "u
         if held:
             yield put(held)
 
-    rows = pages.select(F.col(page_id).cast("long").alias("i"), F.col(url).alias("u"), payload(html).alias("h"), F.col("_refers_to").cast("long").alias("to"), F.col("_revisit").alias("again"))
+    rows = pages.select(F.col(page_id).cast("long").alias("i"), F.col(url).alias("u"), payload(html).alias("h"), F.col("_refers_to").cast("long").alias("to"), F.col("_revisit").alias("again"), F.monotonically_increasing_id().alias("row"))
     return stored(rows.mapInPandas(run, "path string, n_records bigint"), "warc-list")
 
 
-def read(spark: SparkSession, archives: list[str], payloads: bool = False) -> DataFrame:
-    """The records of the archives: RECORD, and with payloads also url and payload."""
+def read(spark: SparkSession, folder: str, archives: DataFrame, payloads: bool = False) -> DataFrame:
+    """The records of the archives in folder that `archives` (path) lists: RECORD, and with payloads also url and payload. The folder
+    is read as one, so that the driver holds no list of archives of its own."""
     schema = RECORD + (", url string, payload binary" if payloads else "")
-    if not archives:
+    if not archives.limit(1).count():
         return spark.createDataFrame([], schema)
     names = [x.split(" ")[0] for x in schema.split(", ")]
 
@@ -181,13 +201,17 @@ def read(spark: SparkSession, archives: list[str], payloads: bool = False) -> Da
 
     of = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     kinds = pa.schema([(x.split(" ")[0], of[x.split(" ")[1]]) for x in schema.split(", ")])
-    return spark.read.format("binaryFile").load(archives).select("content").mapInArrow(run, schema)
+    listed = archives.select(F.substring_index("path", "/", -1).alias("name")).distinct()
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
+    files = found.select(F.substring_index("path", "/", -1).alias("name"), "content")
+    names_of = listed.withColumn("n", F.lit(1))
+    return lookup(files, names_of, "name", "n", "left_semi").select("content").mapInArrow(run, schema)
 
 
 def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    written = write(with_revisits(pages), scratch_path(spark, "warc"))
-    return read(spark, [r.path for r in written.select("path").toLocalIterator()])
+    folder = scratch_path(spark, "warc")
+    return read(spark, folder, write(with_revisits(pages), folder))
 
 
 SQL = """

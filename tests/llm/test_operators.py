@@ -258,7 +258,7 @@ def test_warc(spark, tmp_path):
         folder = f"file://{tmp_path}/{size}"
         written = warc.write(marked, folder, archive_bytes=size)
         assert written.agg(F.sum("n_records")).first()[0] == len(pages)
-        got = warc.read(spark, [r.path for r in written.collect()], payloads=True).collect()
+        got = warc.read(spark, folder, written, payloads=True).collect()
         assert len(got) == len(pages)
         text = {i: (h or "").encode() for i, _, h in pages}
         for r in got:
@@ -270,7 +270,11 @@ def test_warc(spark, tmp_path):
     data = next((tmp_path / str(1 << 25)).glob("*.zst")).read_bytes()
     with pytest.raises(ValueError):
         list(warc.records_of(data[:-3]))
-    assert warc.read(spark, [r.path for r in warc.write(marked.limit(0), f"file://{tmp_path}/0").collect()]).count() == 0
+    heads = [dict(x.split(": ", 1) for x in one.partition(b"\r\n\r\n")[0].decode().split("\r\n")[1:]) for f in (tmp_path / "5000").glob("*.zst") for one in warc.records_of(f.read_bytes())]
+    assert all(re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", h["WARC-Date"]) for h in heads)
+    ids = Counter(h["WARC-Record-ID"] for h in heads)
+    assert sum(n > 1 for n in ids.values()) <= 1 and {h["WARC-Refers-To"] for h in heads if h["WARC-Type"] == "revisit"} <= set(ids)
+    assert warc.read(spark, f"file://{tmp_path}/0", warc.write(marked.limit(0), f"file://{tmp_path}/0")).count() == 0
 
 
 @pytest.mark.parametrize("chunk,grid", [(3000, vectors.GRID), (20, (0, 50, 100))])
