@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,9 +38,9 @@ def normalize(df: DataFrame, source: Source, keep: tuple[str, ...] = ()) -> Data
     return counted.select(*keep, *[n if n in counted.columns else F.lit(None).cast(k).alias(n) for n, k in COLUMNS])
 
 
-def reason(policy: Policy) -> Column:
-    """Null for an accepted document, else why it is rejected. The order of the rules is part of the result."""
-    rules: list[tuple[Column, str]] = [(F.col("word_count") == 0, "empty_text")]
+def reason(policy: Policy, of: Callable[[str], Column] = F.col) -> Column:
+    """Null for an accepted document, else why it is rejected. The order of the rules is part of the result. `of` gives a column's value."""
+    rules: list[tuple[Column, str]] = [(of("word_count") == 0, "empty_text")]
     for bound, column, name, below in (
         (policy.min_words, "word_count", "too_few_words", True),
         (policy.max_words, "word_count", "too_many_words", False),
@@ -46,31 +48,38 @@ def reason(policy: Policy) -> Column:
         (policy.max_chars, "char_count", "too_long_chars", False),
     ):
         if bound is not None:
-            rules.append((F.col(column) < bound if below else F.col(column) > bound, name))
+            rules.append((of(column) < bound if below else of(column) > bound, name))
     if policy.languages:
-        rules.append((~F.coalesce(F.col("language").isin(*policy.languages), F.lit(False)), "language"))
+        rules.append((~F.coalesce(of("language").isin(*policy.languages), F.lit(False)), "language"))
     for name in NUMERIC:
         least = policy.minimums.get(name)
         if least is not None:
             if policy.missing_policy == "reject":
-                rules.append((F.col(name).isNull(), f"missing_{name}"))
-            rules.append((F.col(name) < least, f"min_{name}"))
+                rules.append((of(name).isNull(), f"missing_{name}"))
+            rules.append((of(name) < least, f"min_{name}"))
     out = F.when(*[rules[0][0], F.lit(rules[0][1])])
     for test, name in rules[1:]:
         out = out.when(test, name)
     return out
 
 
+def judgement(policy: Policy) -> Column:
+    """reason(policy) with each measure of the text taken once: the rules read a bound value, not the expression behind a column,
+    which Catalyst would otherwise write out for each rule when it moves a filter."""
+    used = ("word_count", "char_count", "language", *NUMERIC)
+    return F.element_at(F.transform(F.array(F.struct(*used)), lambda x: F.struct(reason(policy, lambda name: x[name]).alias("reason"))), 1)["reason"]
+
+
 def judged(df: DataFrame, policy: Policy) -> DataFrame:
-    return df.withColumn("reason", reason(policy))
+    return df.withColumn("reason", judgement(policy))
 
 
 def accepted(df: DataFrame, policy: Policy) -> DataFrame:
-    """The accepted documents. Where nulls are rejected, the rules are also given as plain conditions, which reach the scan."""
-    out = df.where(reason(policy).isNull())
+    """The accepted documents. Rules that look at no text are also given as plain conditions, which come first and reach the scan."""
+    out = df
     if policy.languages:
         out = out.where(F.col("language").isin(*policy.languages))
     if policy.missing_policy == "reject":
         for name, least in policy.minimums.items():
             out = out.where(F.col(name) >= least)
-    return out
+    return out.where(judgement(policy).isNull())

@@ -47,11 +47,18 @@ def running(df: DataFrame, value: str, order: list[Column], bucket: Column, name
     return at.join(F.broadcast(before), "_bucket").withColumn(name, (inside + F.col("_before")).cast("bigint")).drop("_bucket", "_before")
 
 
-def schedule(made: DataFrame, mix: Mix) -> DataFrame:
+def schedule(made: DataFrame, mix: Mix, cursors: dict[str, dict] | None = None) -> DataFrame:
     """The batches taken: source, file, batch_id, n_rows, tokens, key, tie, before (tokens of all batches taken earlier),
-    rows_before."""
+    rows_before. cursors (of each source: the file and batch_id taken last, tokens and rows so far) make it go on after an earlier
+    schedule: as a source's key only grows, taking on is sorting what is left by the keys that it then has."""
     earlier = Window.partitionBy("source").orderBy("file", "batch_id").rowsBetween(Window.unboundedPreceding, -1)
-    at = made.join(F.broadcast(_table(made.sparkSession, mix)), "source").withColumn("cum", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)))
+    spark, given = made.sparkSession, cursors or {}
+    from_ = spark.createDataFrame([(n, c["file"], c["batch_id"], c["tokens"]) for n, c in given.items() if c.get("tokens")], "source string, _file long, _batch long, _given long")
+    if given:
+        made = made.join(F.broadcast(from_), "source", "left").where(F.coalesce(F.struct("file", "batch_id") > F.struct(F.col("_file").cast(made.schema["file"].dataType).alias("file"), F.col("_batch").alias("batch_id")), F.lit(True)))
+    else:
+        made = made.withColumn("_given", F.lit(None).cast("long"))
+    at = made.join(F.broadcast(_table(spark, mix)), "source").withColumn("cum", F.coalesce("_given", F.lit(0)) + F.coalesce(F.sum("tokens").over(earlier), F.lit(0)))
     if mix.target_tokens is not None:
         at = at.where(F.col("cum") < F.col("cap"))
     at = at.withColumn("key", F.col("cum") / F.col("weight"))
@@ -59,6 +66,9 @@ def schedule(made: DataFrame, mix: Mix) -> DataFrame:
     bucket = F.least(F.lit(BUCKETS - 1), F.floor(F.col("key") / F.lit(top + 1.0) * BUCKETS)).cast("int")
     order = [F.col("key"), F.col("tie")]
     out = running(running(at, "tokens", order, bucket, "before"), "n_rows", order, bucket, "rows_before")
+    if given:
+        tokens, rows = (sum(c.get(k, 0) for c in given.values()) for k in ("tokens", "rows"))
+        out = out.withColumn("before", F.col("before") + tokens).withColumn("rows_before", F.col("rows_before") + rows)
     if mix.target_tokens is not None:
         out = out.where(F.col("before") < mix.target_tokens)
     if mix.limit_rows is not None:

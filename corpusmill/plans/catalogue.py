@@ -6,8 +6,6 @@ documents, pages, conversations and benchmark as sources, in small batches so th
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +18,7 @@ from ..operators import filtering, metrics, mixing, sharding, tokenizing
 from ..sources import checkpoint, files
 from ..sources.config import Mix, MixSource, Policy, Source, stable_id, tie_value
 from ..streaming import filtering as streaming
+from . import runs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -293,12 +292,13 @@ def mix_batches(spark, sf_dir):
 
 @_query("mix_schedule", f"{mix_sql(MIX)} SELECT source, file, batch_id, n_rows, tokens, before, rows_before FROM taken")
 def mix_schedule(spark, sf_dir):
-    return mixing.schedule(mix_batches(spark, sf_dir), MIX).select("source", "file", "batch_id", "n_rows", "tokens", "before", "rows_before")
+    made = mix_batches(spark, sf_dir).persist()  # a row for each batch, that several passes read
+    return mixing.schedule(made, MIX).select("source", "file", "batch_id", "n_rows", "tokens", "before", "rows_before")
 
 
 @_query("mix_report", f"{mix_sql(MIX)}, g AS (SELECT source, sum(n_rows)::BIGINT AS r, sum(tokens)::BIGINT AS t FROM taken GROUP BY source) SELECT w.source, coalesce(r, 0)::BIGINT AS n_rows, coalesce(t, 0)::BIGINT AS tokens, 100.0::DOUBLE * coalesce(t, 0) / (SELECT sum(t)::BIGINT FROM g) AS actual_pct, weight * 100.0::DOUBLE AS target_pct FROM w LEFT JOIN g USING (source)")
 def mix_report(spark, sf_dir):
-    return mixing.report(mixing.schedule(mix_batches(spark, sf_dir), MIX), MIX)
+    return mixing.report(mixing.schedule(mix_batches(spark, sf_dir).persist(), MIX), MIX)
 
 
 def _mix_output(spark, sf_dir, mix):
@@ -409,21 +409,41 @@ for _name in ("token_counts", "token_chunks", "token_counters", "token_shards",
     _whole_texts(_name)
 
 
-@_query("token_dtype", None)
-def token_dtype(spark, sf_dir):
-    return spark.createDataFrame([(n, tokenizing.dtype_of(n, 0)) for n in (65_535, 65_536)], "max_id bigint, dtype string")
+RUN = {
+    "stage": 1, "name": "run", "source": {"path_prefix": "documents.parquet"}, "required_columns": ["text"],
+    "columns": {"id": "doc_id", "language": "lang", "dataset": "source", "language_score": "n_chars", "fasttext_score": "doc_id", "answer_count": "n_chars", "token_count": "n_chars", "score": "doc_id"},
+    "filters": {"min_words": 20, "languages": ["en", "de", "fr"], "min_language_score": 150, "min_fasttext_score": 3, "min_answer_count": 160, "min_token_count": 170, "min_score": 4, "min_estimated_tokens": 180, "missing_policy": "reject"},
+}
+RUN_SQL = f"""
+WITH d AS (
+  SELECT doc_id, text, lang, coalesce(nullif(source, ''), 'run') AS dataset, n_chars, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS word_count FROM documents
+), run AS (
+  SELECT *, coalesce(nullif(n_chars, 0), greatest(1, round_even(word_count * 1.3::DOUBLE, 0)::BIGINT)) AS estimated_tokens FROM d
+), kept AS (
+  SELECT * FROM run WHERE word_count >= 20 AND lang IN ('en', 'de', 'fr') AND n_chars >= 170 AND doc_id >= 4 AND estimated_tokens >= 180
+)"""
+
+
+def _run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """A filter run over the files of `documents`, through listing, scan and commits: its counters, and its folder."""
+    out = files.scratch(spark, "run")
+    return runs.run_filter(spark, RUN, sf_dir, out), f"{out}/run"
+
+
+@_query("run_accepted", f"{RUN_SQL} SELECT doc_id::VARCHAR AS id, dataset, language_score, fasttext_score, answer_count, token_count, word_count::BIGINT AS word_count, estimated_tokens FROM (SELECT *, n_chars::DOUBLE AS language_score, doc_id::DOUBLE AS fasttext_score, n_chars AS answer_count, n_chars AS token_count FROM kept)")
+def run_accepted(spark, sf_dir):
+    return runs.filtered(spark, _run(spark, sf_dir)[1]).select("id", "dataset", "language_score", "fasttext_score", "answer_count", "token_count", "word_count", "estimated_tokens")
 
 
-@_query("tie_ranks", None)
-def tie_ranks(spark, sf_dir):
-    return spark.createDataFrame([(n, str(tie_value(MIX.seed, n)), r, stable_id({"name": n})) for n, r in MIX.ranks.items()], "source string, value string, tie_rank int, id string")
+@_query("run_counters", f"{RUN_SQL} SELECT (SELECT count(*) FROM run) AS rows_seen, (SELECT count(*) FROM kept) AS accepted, (SELECT count(*) FROM run) - (SELECT count(*) FROM kept) AS rejected, (SELECT coalesce(sum(estimated_tokens), 0) FROM kept)::BIGINT AS estimated_tokens")
+def run_counters(spark, sf_dir):
+    return _run(spark, sf_dir)[0].agg(*[F.sum(c).alias(c) for c in ("rows_seen", "accepted", "rejected", "estimated_tokens")])
 
 
 @_query("streaming_filter", f"{judged_sql(Policy(min_words=60, languages=('en',)))} SELECT {ALL} FROM (SELECT * REPLACE (NULL::DOUBLE AS score, NULL::BIGINT AS int_score) FROM judged) WHERE reason IS NULL")
 def streaming_filter(spark, sf_dir):
     source = Source(**{**SOURCE.__dict__, "policy": Policy(min_words=60, languages=("en",))})
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/checkpoints"
-    run = f"{base}/corpusmill/stream-{uuid.uuid4().hex}"
+    run = files.scratch(spark, "stream")
     schema = table(spark, sf_dir, "documents").schema
     # the table is one file or a folder of files
     folder, pattern = (f"{sf_dir}/documents.parquet", "*.parquet") if files.is_folder(spark, f"{sf_dir}/documents.parquet") else (sf_dir, "documents.parquet")

@@ -4,63 +4,11 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
-from ..functions.schema import COLUMNS, align
-from ..operators import filtering, metrics, mixing, sharding, tokenizing
-from ..sources import checkpoint, config, files
-
-
-def run_filter(spark: SparkSession, data: dict, root: str, output: str, start: int = 0, most: int | None = None, rows: int | None = None, run_id: str | None = None, dry: bool = False, resume: bool = True) -> DataFrame:
-    """Filters the files that are not done yet; writes accepted rows by file, counters, and the progress. Returns the counters."""
-    source = config.source_of(data, run_id)
-    out = f"{output}/{source.output_prefix or source.name}"
-    found = files.list_files(spark, root, source.prefix, source.pattern)
-    progress = files.read_json(spark, f"{out}/progress.json") if resume else None
-    checkpoint.may_start(resume, files.exists(spark, f"{out}/progress.json"), files.exists(spark, f"{out}/data"))
-    done = set((progress or {}).get("done", []))
-    chosen = [x for x in files.file_range(found, start, most) if x[1] not in done]
-    if dry or not chosen:
-        return spark.createDataFrame([(k, f) for k, f in chosen], "file int, file_path string")
-    df = files.scan(spark, root, chosen, rows)
-    files.check_required(df, source.required)
-    judged = filtering.judged(filtering.normalize(df, source, keep=("file", "file_path", "row")), source.policy)
-    judged.where("reason is null").drop("reason", "file_path", "row").write.partitionBy("file").option("compression", "zstd").mode("append").parquet(f"{out}/data")
-    counters = metrics.by_file(judged, "file_path")
-    counters.write.mode("append").parquet(f"{out}/counters")
-    done |= {f for _, f in chosen} if rows is None else set()
-    files.write_json(spark, f"{out}/progress.json", {"done": sorted(done), "finished": done == set(found), "config": config.stable_id(data)})
-    return counters
-
-
-def run_mix(spark: SparkSession, data: dict, root: str, output: str) -> DataFrame:
-    """Mixes the filtered sources below root; returns the report."""
-    mix = config.mix_of(data)
-    parts = []
-    for name in mix.shares:
-        paths = [(k, f) for k, f in enumerate(files.list_files(spark, f"{root}/{name}/data"))]
-        df = files.scan(spark, f"{root}/{name}/data", paths)
-        parts.append(align(df.withColumnRenamed("file", "_file").drop("file_path"), keep=("_file", "row")).withColumnRenamed("_file", "file").withColumn("source", F.lit(name)))
-    docs = parts[0]
-    for p in parts[1:]:
-        docs = docs.unionByName(p)
-    docs = mixing.numbered(docs, mix.batch_rows)
-    taken = mixing.schedule(mixing.batches(docs), mix)
-    mixing.check_budget(taken, mix)
-    out = mixing.output(docs, taken, mix)
-    sharding.write_shards(out.select("position", *[n for n, _ in COLUMNS]), ["position"], f"{output}/{mix.name}/data", 1_000_000)
-    return mixing.report(taken, mix)
-
-
-def run_tokenize(spark: SparkSession, data: dict, root: str, output: str, tokenizer: tokenizing.Tokenizer) -> list[tuple[str, int]]:
-    """Tokenizes the mix at root into binary shards; returns their names and sizes."""
-    rules = data.get("tokenizer") or {}
-    shard = int((data.get("output") or {}).get("shard_size_tokens", 250_000_000))
-    df = spark.read.parquet(root).select("position", "text").withColumn("file", F.lit(0))
-    made = tokenizing.streams(df, tokenizing.with_tokenizer(F.col("text"), tokenizer), tokenizer.eos_id, int(rules.get("hard_doc_limit", 65536)), int(rules.get("max_doc_tokens", 8192)))
-    at = tokenizing.placed(made.drop("text"), "file", "position")
-    return sharding.write_token_shards(tokenizing.pieces(at, shard), output, tokenizing.dtype_of(tokenizer.max_id, tokenizer.eos_id), shard)
+from ..operators import tokenizing
+from ..sources import config
+from .runs import run_filter, run_mix, run_tokenize
 
 
 def main(args: list[str] | None = None) -> None:
@@ -71,6 +19,7 @@ def main(args: list[str] | None = None) -> None:
     for name in ("start-file", "limit-files", "limit-rows"):
         parser.add_argument(f"--{name}", type=int)
     parser.add_argument("--run-id")
+    parser.add_argument("--pattern", help="names of the files to tokenize, instead of the shards that a mix lists")
     parser.add_argument("--tokenizer", help="a `tokenizers` JSON file")
     parser.add_argument("--eos", default="<|endoftext|>")
     parser.add_argument("--dry-run", action="store_true")
@@ -81,9 +30,9 @@ def main(args: list[str] | None = None) -> None:
     if a.what == "filter":
         run_filter(spark, data, a.input, a.output, a.start_file or 0, a.limit_files, a.limit_rows, a.run_id, a.dry_run, not a.no_resume).show(1000, False)
     elif a.what == "mix":
-        run_mix(spark, data, a.input, a.output).show(1000, False)
+        run_mix(spark, data, a.input, a.output, a.dry_run, not a.no_resume).show(1000, False)
     else:
-        print(run_tokenize(spark, data, a.input, a.output, tokenizing.FileTokenizer(a.tokenizer, a.eos)))
+        print(run_tokenize(spark, data, a.input, a.output, tokenizing.FileTokenizer(a.tokenizer, a.eos), a.pattern, a.dry_run, not a.no_resume))
 
 
 if __name__ == "__main__":

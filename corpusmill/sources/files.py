@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import fnmatch
 import json
+import re
+import tempfile
+import uuid
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +19,14 @@ def _path(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder below the one that driver and executors share, spark.checkpoint.dir. Only a local session may do without it."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"{(base or f'file://{tempfile.gettempdir()}/checkpoints').rstrip('/')}/corpusmill/{label}-{uuid.uuid4().hex}"
+
+
 def list_files(spark: SparkSession, root: str, prefix: str = "", pattern: str = "*.parquet") -> list[str]:
     """Paths below root, sorted, that are prefix or lie under it and whose path or name matches pattern; none is an error."""
     fs, base = _path(spark, root)
@@ -49,18 +60,34 @@ def check_required(df: DataFrame, required: tuple[str, ...]) -> None:
         raise ValueError(f"required columns are missing: {', '.join(missing)}")
 
 
-def scan(spark: SparkSession, root: str, files: list[tuple[int, str]], first_rows: int | None = None, offsets: dict[str, int] | None = None) -> DataFrame:
-    """The files' rows with file (its place), file_path and row (place in the file); at most first_rows input rows of each file,
-    beginning at its offset."""
-    df = spark.read.parquet(*[f"{root.rstrip('/')}/{f}" for _, f in files])
-    table = F.create_map(*[x for k, f in files for x in (F.lit(f), F.lit(k))])
-    name = F.regexp_extract(F.col("_metadata.file_path"), "(?:" + "|".join(sorted((_quoted(f) for _, f in files), key=len, reverse=True)) + ")$", 0)
-    df = df.select("*", name.alias("file_path"), F.col("_metadata.row_index").alias("row")).withColumn("file", table[F.col("file_path")].cast("int"))
-    return limit_per_file(df, first_rows, offsets)
+#: Files whose places and offsets may be broadcast to the scan; more are joined by a shuffle.
+MOST_BROADCAST = 100_000
 
 
-def _quoted(path: str) -> str:
-    return "".join(c if c.isalnum() or c in "/_-" else f"\\{c}" for c in path)
+def numbered(path: str) -> list:
+    """A sort key for paths in which numbers count as numbers: file=2 comes before file=10."""
+    return [(0, int(x), "") if x.isdecimal() else (1, 0, x) for x in re.split(r"([0-9]+)", path)]
+
+
+def scan(spark: SparkSession, root: str, files: list[tuple[int, str]], first_rows: int | None = None, offsets: dict[str, int] | None = None) -> DataFrame:
+    """The files' rows with file (its place), file_path and row (place in the file), which replace columns of those names; at most
+    first_rows input rows of each file, beginning at its offset. Files that are not there are passed over."""
+    base, paths = root.rstrip("/"), [f"{root.rstrip('/')}/{f}" for _, f in files]
+    there = [x for x, path in zip(files, paths, strict=True) if exists(spark, path)]
+    df = spark.read.parquet(*[f"{base}/{f}" for _, f in there])
+    own = [f.name for f in df.schema if f.name.lower() not in ("file", "file_path", "row")]
+    fs, top = _path(spark, root)
+    start = str(fs.makeQualified(top)).rstrip("/") + "/"
+    uri = {name: (place, (offsets or {}).get(name, 0), _path(spark, start + name)[1].toUri().toString()) for place, name in there}
+    table = spark.createDataFrame([(u, name, place, at) for name, (place, at, u) in uri.items()], "_uri string, file_path string, file int, _from bigint")
+    rows = df.select(*[F.col(f"`{c}`") for c in own], F.col("_metadata.file_path").alias("_uri"), F.col("_metadata.row_index").alias("row"))
+    # Spark writes file URIs as file:/x or file:///x
+    rows = rows.withColumn("_uri", F.regexp_replace("_uri", "^file:/+", "file:/"))
+    table = table.withColumn("_uri", F.regexp_replace("_uri", "^file:/+", "file:/"))
+    out = rows.join(F.broadcast(table) if len(there) <= MOST_BROADCAST else table, "_uri").drop("_uri")
+    if first_rows is not None:
+        out = out.where(F.col("row") < first_rows)
+    return (out.where(F.col("row") >= F.col("_from")) if offsets else out).drop("_from")
 
 
 def limit_per_file(df: DataFrame, first_rows: int | None = None, offsets: dict[str, int] | None = None, file: str = "file_path", row: str = "row") -> DataFrame:
@@ -68,8 +95,9 @@ def limit_per_file(df: DataFrame, first_rows: int | None = None, offsets: dict[s
     if first_rows is not None:
         df = df.where(F.col(row) < first_rows)
     if offsets:
-        start = F.create_map(*[x for f, n in offsets.items() for x in (F.lit(f), F.lit(n))])
-        df = df.where(F.col(row) >= F.coalesce(start[F.col(file)], F.lit(0)))
+        start = df.sparkSession.createDataFrame(list(offsets.items()), "_file string, _from bigint")
+        start = F.broadcast(start) if len(offsets) <= MOST_BROADCAST else start
+        df = df.join(start, F.col(file) == F.col("_file"), "left").where(F.col(row) >= F.coalesce("_from", F.lit(0))).drop("_file", "_from")
     return df
 
 
@@ -91,16 +119,38 @@ def read_json(spark: SparkSession, path: str) -> Any | None:
 
 
 def write_json(spark: SparkSession, path: str, data: Any) -> None:
-    """Written beside its place and renamed, so that readers find the old or the new document."""
+    """Written beside its place and renamed over it where the file system can do so at once."""
     fs, p = _path(spark, path)
-    _, part = _path(spark, path + ".part")
+    _, part = _path(spark, f"{path}.{uuid.uuid4().hex}.part")
     out = fs.create(part, True)
     out.write(bytearray((json.dumps(data, indent=2, sort_keys=True, default=str) + "\n").encode()))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(part, p):
-        raise OSError(f"{path} could not be put in place")
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(part, p, options)
+
+
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """What stands in a folder; nothing where there is none."""
+    fs, p = _path(spark, folder)
+    return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _path(spark, path)
+    fs.delete(p, True)
+
+
+def size(spark: SparkSession, path: str) -> int:
+    fs, p = _path(spark, path)
+    return fs.getFileStatus(p).getLen()
+
+
+def glob_files(spark: SparkSession, root: str, pattern: str = "*.parquet", left_out: tuple[str, ...] = ("buffer.parquet",)) -> list[str]:
+    """Files below root whose name matches pattern, in which only `*` stands for other text; without the buffer."""
+    shape = re.compile(".*".join(re.escape(x) for x in pattern.split("*")) + r"\Z", re.S)
+    return [f for f in list_files(spark, root, "", "*") if (name := f.rpartition("/")[2]) not in left_out and shape.match(name) and not name.startswith(("_", "."))]
 
 
 def manifest_files(progress: dict | None, shards: str, remainder: str | None = None) -> list[str]:

@@ -95,4 +95,3 @@ def test_checkpoints():
     with pytest.raises(RuntimeError):
         checkpoint.may_start(False, True, False)
     assert checkpoint.reconcile(10, 9, 10, False) == "shard" and checkpoint.reconcile(9, 9, 10, True) == "keep"
-    assert sharding.resource_layout(4, 10) == (1, 4) and sharding.resource_layout(24, 10) == (2, 12) and sharding.resource_layout(24, 10, 4, 12) == (4, 6)
