@@ -7,19 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: The 29 white-space code points; fixed values.
-BLANK = "\\u0009-\\u000D\\u001C-\\u0020\\u0085\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
+BLANKS = "".join(map(chr, (*range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 TOKENS_PER_WORD = 1.3
 #: What counts as a number in text; an underscore may stand between digits.
 INTEGER = r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"
 FLOAT = r"(?i)^\s*[+-]?(([0-9]+(_[0-9]+)*\.?([0-9]+(_[0-9]+)*)?|\.[0-9]+(_[0-9]+)*)(e[+-]?[0-9]+(_[0-9]+)*)?|inf(inity)?|nan)\s*$"
 
 
-def word_count(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(f"[^{BLANK}]+")).cast("bigint")
+def words(text: Column) -> Column:
+    """What stands between blanks. All blanks become spaces first, so that the text is cut at a single character, without a regular
+    expression, which takes three times as long."""
+    return F.array_remove(F.split(F.translate(text, BLANKS, " " * len(BLANKS)), " "), "")
 
 
-def words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"[^{BLANK}]+"), F.lit(0))
+def word_count(text: Column) -> Column:
+    return F.when(text.isNotNull(), F.size(words(text)).cast("bigint"))
 
 
 def char_count(text: Column) -> Column:
