@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -242,10 +243,52 @@ def test_personal_data(spark, docs, empty):
 
 
 def test_weak_labels():
-    rows = [("phone", 1, 1, 1, 0, 0, 40), ("phone", -1, 0, 0, -1, 0, 40), ("ip", 1, 0, 0, -1, 1, 5)]
+    rows = [("phone", 1, 1, 1, 0, 0, 2, 0, 40), ("phone", -1, 0, 0, -1, 0, 2, 0, 40), ("ip", 1, 0, 0, -1, 1, 2, 0, 5)]
     p = pii.estimate(rows)
     assert p["phone", 1, 1, 1, 0] > 0.8 > 0.3 > p["phone", -1, 0, 0, -1]
     assert pii.train([]) == {} and pii.estimate([]) == {}
+    alone = pii.estimate(rows[2:])
+    assert alone["ip", 1, 0, 0, -1] == p["ip", 1, 0, 0, -1]  # reliabilities are a kind's own
+
+
+def brute_em(counts, rounds=50):
+    """The same model with a row for each vote, in matrices."""
+    keys, n = list(counts), np.array(list(counts.values()), float)
+    prior = np.array([[2.0, 4.0, 6.0], [6.0, 4.0, 2.0]])  # of votes -1, 0, 1 in the true and the false class
+    one = np.stack([np.stack([np.array([k[j] == v for k in keys], float) for v in (-1, 0, 1)], 1) for j in range(4)])  # labeler, key, vote
+    table, share = np.repeat((prior / prior.sum(1, keepdims=True))[None], 4, 0), 0.5
+    for _ in range(rounds):
+        like = np.exp(sum(np.log(one[j] @ table[j].T) for j in range(4)))
+        like *= [share, 1 - share]
+        p = like[:, 0] / like.sum(1)
+        share = (2 + n @ p) / (4 + n.sum())
+        for j in range(4):
+            sums = prior + np.stack([one[j].T @ (n * p), one[j].T @ (n * (1 - p))])
+            table[j] = sums / sums.sum(1, keepdims=True)
+    return dict(zip(keys, p, strict=True))
+
+
+def test_estimates_against_brute_force():
+    rng = random.Random(4)
+    rows = [(kind, *(rng.choice((-1, 0, 1)) for _ in range(4)), 0, 0, 0, rng.randrange(1, 90)) for kind in ("ip", "card") for _ in range(30)]
+    got = pii.estimate(rows)
+    for kind in ("ip", "card"):
+        counts = Counter()
+        for r in rows:
+            if r[0] == kind:
+                counts[r[1:5]] += r[-1]
+        for votes, p in brute_em(counts).items():
+            assert abs(got[kind, *votes] - p) < 1e-9
+
+
+def test_many_hits(spark):
+    """Positions are right, and made in linear time, where a text holds very many hits."""
+    text = " ".join(f"a{k}@b.cd" + "é" * (k % 3) for k in range(20_000))
+    want = [("email", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    began = time.time()
+    row = pii.detect(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert [(x.kind, x.start, x.end) for x in row._pii] == want and time.time() - began < 60
+    assert all(0 <= x.probability <= 1 and 0 <= x.posterior <= 1 for x in row._pii)
 
 
 def test_warc(spark, tmp_path):
