@@ -71,10 +71,25 @@ def ranked(words: Sequence[str]) -> tuple[dict[str, int], int]:
 
 
 RANKS, LONGEST = ranked(WORDS)
-#: How rare a letter (column) is after another one (row), a to z, in quarters of log10, from English words; 9 is the most.
-PAIRS = "95469969698364969453879979|48784999469299499557499979|39693994595699399683599989|49962989399799599758599979|69537779899564978336978699|49994499399599399596499969|59992964499664599567499999|39992999499789399685899989|67565669999552479754969997|58882888888888388858488888|59992979399597779949696979|49863999399499499966699949|35992999399869449969599999|59544739599997699943779999|86659989798552659365566999|49983998699499459365699979|99999999999699999649199999|49762879498867499655788979|69593895398799558943599989|59992995299799599456699969|56575769599453959454999999|39991999399999799999999999|39984994399695499458999999|49474799499979939773999979|79767979399955539934996996|39962999399999499999999969".split("|")
-#: The mean of them, as log10, beyond which a value is no word; letters of one word at most; log10 of all words.
-RARE, WORD_LETTERS, WORD_COST = 1.45, 24, 6.0
+#: Letters that words put next to each other: a vowel and a consonant, but for the rare ones, and these pairs of either; fixed values.
+VOWELS, RARE_LETTERS = frozenset("aeiouy"), frozenset("jqxz")
+VOWEL_PAIRS = frozenset("ai au ay ea ee ei eo eu ey ia ie io iu oa oi oo ou oy ua ue ui uo".split())
+CONSONANT_PAIRS = frozenset(
+    "bb bl br cc ch ck cl cr ct dd dg dl dr ds ff fl fr ft gg gh gl gn gr ht ks lb ld lf lk ll lm lp ls lt mb mm mp ms nc nd ng nk nl nn ns nt nv "
+    "pl pp pr ps pt qu rb rc rd rf rg rk rl rm rn rp rr rs rt rv sc sh sk sl sm sn sp ss st sw tc th tl tr ts tt tw wh wl wn wr xc xp xt".split()
+)
+#: The share of unusual pairs beyond which a value is no word; what a pair with a rare letter counts; letters of one word at most;
+#: log10 of all words.
+UNUSUAL, RARE_PAIR, WORD_LETTERS, WORD_COST = 0.25, 0.8, 24, 6.0
+
+
+def _unusual(a: str, b: str) -> float:
+    """How unusual two letters of a to z are next to each other in a word, from 0 to 1."""
+    if a + b in CONSONANT_PAIRS or a + b in VOWEL_PAIRS:
+        return 0.0
+    if (a in VOWELS) == (b in VOWELS):
+        return 1.0
+    return RARE_PAIR if a in RARE_LETTERS or b in RARE_LETTERS else 0.0
 
 
 def _brute(c: str) -> float:
@@ -116,11 +131,11 @@ def guess_cost(value: str, ranks: dict[str, int] = RANKS, longest: int = LONGEST
 
 
 def word_cost(value: str) -> float:
-    """log10 of the guesses for a value without digits and inner symbols, as words; inf if its letter pairs are rarer than theirs.
-    Accents do not count, and letters beyond a to z tell nothing."""
+    """log10 of the guesses for a value without digits and inner symbols, as words; inf if too many of its letter pairs
+    are unusual in them. Accents do not count, and letters beyond a to z tell nothing."""
     low = "".join(c for c in unicodedata.normalize("NFD", value.lower()) if not unicodedata.combining(c))
-    rare = [int(PAIRS[ord(a) - 97][ord(b) - 97]) for a, b in zip(low, low[1:]) if "a" <= a <= "z" and "a" <= b <= "z"]
-    if rare and sum(rare) > 4 * RARE * len(rare):
+    pairs = [_unusual(a, b) for a, b in zip(low, low[1:]) if "a" <= a <= "z" and "a" <= b <= "z"]
+    if pairs and sum(pairs) > UNUSUAL * len(pairs):
         return math.inf
     return WORD_COST * math.ceil(len(value) / WORD_LETTERS)
 

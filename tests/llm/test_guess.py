@@ -79,3 +79,12 @@ def test_words_and_costs(spark):
     assert [k for k, _ in plain[1]] == ["guess", "assign"] and plain[1][0][1] > 8 > plain[1][1][1] > 0 and plain[2] == []
     known = secrets.scan(docs, words=["zorblax", "password"]).collect()
     assert [x.kind for r in known for x in r._secrets] == ["assign"]
+
+
+def test_letters_of_words_and_random_letters():
+    words = "administration organisation strength geschichte krankenversicherung schwarz ubersetzung desarrollo gouvernement knowledge bibliotheque".split()
+    assert sum(math.isinf(secrets.word_cost(w)) for w in words) <= 1
+    rng = random.Random(3)
+    drawn = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(12)) for _ in range(300)]
+    assert sum(math.isinf(secrets.word_cost(w)) for w in drawn) >= 270
+    assert secrets.word_cost("") == 0 and secrets.word_cost("пароль") == secrets.WORD_COST
