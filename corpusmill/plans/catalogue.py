@@ -29,9 +29,8 @@ POLICY = Policy(min_words=60, max_words=2000, min_chars=300, max_chars=12000, la
 MIX = Mix("blend", (MixSource("documents", 0.4), MixSource("pages", 0.3), MixSource("conversations", 0.2), MixSource("benchmark", 0.1)), 60_000, 42, 8)
 OPEN_MIX = Mix("all", MIX.sources, None, 42, 8, 300)
 WHOLE_MIX = Mix("whole", MIX.sources, None, 42, 8)
-HARD, CHUNK, SHARD, IO = 512, 64, 10_000, 777
-#: The limits that whole texts are tokenized under, those of the reference.
-WHOLE = (65_536, 8_192)
+#: The tokenizer's own limits; a text is cut only beyond HARD ids, which tests/test_tokenizing.py tries.
+HARD, CHUNK, SHARD, IO = 65_536, 8_192, 10_000, 777
 
 
 def _query(name: str, sql: str | None):
@@ -338,14 +337,13 @@ def mix_next_source(spark, sf_dir):
 EOS = 65535
 
 
-def token_sql(hard: int, chunk: int) -> str:
-    return f"""
+TOKEN_SQL = f"""
 WITH words AS (
   SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS row, regexp_extract_all(text, '{WORD}') AS ws FROM documents WHERE length(text) > 10
 ), ids AS (
-  SELECT doc_id, source, row, list_transform(ws[1:{hard}], lambda w: (('0x' || substr(md5(w), 1, 4))::BIGINT % 65535)::INTEGER) AS ids FROM words
+  SELECT doc_id, source, row, list_transform(ws[1:{HARD}], lambda w: (('0x' || substr(md5(w), 1, 4))::BIGINT % 65535)::INTEGER) AS ids FROM words
 ), streams AS (
-  SELECT *, len(ids)::BIGINT AS n_ids, flatten(list_transform(range(0, ((len(ids) + {chunk - 1}) // {chunk})::BIGINT), lambda i: list_concat(ids[i * {chunk} + 1 : i * {chunk} + {chunk}], [{EOS}]))) AS stream FROM ids
+  SELECT *, len(ids)::BIGINT AS n_ids, flatten(list_transform(range(0, ((len(ids) + {CHUNK - 1}) // {CHUNK})::BIGINT), lambda i: list_concat(ids[i * {CHUNK} + 1 : i * {CHUNK} + {CHUNK}], [{EOS}]))) AS stream FROM ids
 ), sized AS (SELECT *, len(stream)::BIGINT AS length FROM streams),
 placed AS (
   SELECT *, coalesce(sum(length) OVER (ORDER BY source, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM sized
@@ -357,56 +355,43 @@ parts AS (
 )"""
 
 
-TOKEN_SQL = token_sql(HARD, CHUNK)
-
-
-def encoded(spark: SparkSession, sf_dir: str, hard: int = HARD, chunk: int = CHUNK) -> DataFrame:
+def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return tokenizing.streams(docs, tokenizing.word_hash_ids(F.col("text")), EOS, hard, chunk).drop("text")
+    return tokenizing.streams(docs, tokenizing.word_hash_ids(F.col("text")), EOS, HARD, CHUNK).drop("text")
 
 
 @_query("token_counts", f"{TOKEN_SQL} SELECT doc_id, n_ids, length, list_sum(stream)::BIGINT AS id_sum FROM sized")
-def token_counts(spark, sf_dir, *limits):
-    return encoded(spark, sf_dir, *limits).select("doc_id", "n_ids", "length", F.aggregate("stream", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("id_sum"))
+def token_counts(spark, sf_dir):
+    return encoded(spark, sf_dir).select("doc_id", "n_ids", "length", F.aggregate("stream", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("id_sum"))
 
 
 @_query("token_chunks", f"{TOKEN_SQL} SELECT doc_id, array_to_string(stream, ' ') AS stream FROM sized")
-def token_chunks(spark, sf_dir, *limits):
-    return encoded(spark, sf_dir, *limits).select("doc_id", F.array_join(F.col("stream").cast("array<string>"), " ").alias("stream"))
+def token_chunks(spark, sf_dir):
+    return encoded(spark, sf_dir).select("doc_id", F.array_join(F.col("stream").cast("array<string>"), " ").alias("stream"))
 
 
 @_query("token_counters", f"{TOKEN_SQL} SELECT (SELECT count(*) FROM documents) AS rows_seen, count(*) AS valid_rows, (SELECT count(*) FROM documents WHERE text IS NULL OR length(text) <= 10) AS skipped_rows, sum(length)::BIGINT AS tokens FROM sized")
-def token_counters(spark, sf_dir, *limits):
-    return tokenizing.counters(table(spark, sf_dir, "documents"), encoded(spark, sf_dir, *limits))
+def token_counters(spark, sf_dir):
+    return tokenizing.counters(table(spark, sf_dir, "documents"), encoded(spark, sf_dir))
 
 
 @_query("token_shards", f"{TOKEN_SQL} SELECT doc_id, k::BIGINT AS shard_id, (greatest(start, k * {SHARD}) - k * {SHARD})::BIGINT AS shard_offset, (least(start + length, (k + 1) * {SHARD}) - greatest(start, k * {SHARD}))::BIGINT AS n FROM (SELECT *, unnest(range(start // {SHARD}, (start + length - 1) // {SHARD} + 1)) AS k FROM placed WHERE length > 0)")
-def token_shards(spark, sf_dir, *limits):
-    at = tokenizing.placed(encoded(spark, sf_dir, *limits), "source", "doc_id")
+def token_shards(spark, sf_dir):
+    at = tokenizing.placed(encoded(spark, sf_dir), "source", "doc_id")
     return tokenizing.pieces(at, SHARD).select("doc_id", "shard_id", "shard_offset", F.size("ids").cast("bigint").alias("n"))
 
 
 @_query("token_shard_sums", f"{TOKEN_SQL} SELECT (pos // {SHARD})::BIGINT AS shard_id, count(*) AS n_tokens, sum(id)::BIGINT AS id_sum, count(*) = {SHARD} AS \"full\" FROM flat GROUP BY 1")
-def token_shard_sums(spark, sf_dir, *limits):
-    parts = tokenizing.pieces(tokenizing.placed(encoded(spark, sf_dir, *limits), "source", "doc_id"), SHARD)
+def token_shard_sums(spark, sf_dir):
+    parts = tokenizing.pieces(tokenizing.placed(encoded(spark, sf_dir), "source", "doc_id"), SHARD)
     ids = F.aggregate("ids", F.lit(0).cast("bigint"), lambda a, x: a + x)
     sums = parts.groupBy("shard_id").agg(F.sum(F.size("ids")).cast("bigint").alias("n_tokens"), F.sum(ids).alias("id_sum"))
     return sums.withColumn("full", F.col("n_tokens") == SHARD)
 
 
 @_query("token_budget", f"{TOKEN_SQL}, t AS (SELECT coalesce(max(least(high, low + ceil((50000 - low) / {IO}::DOUBLE)::BIGINT * {IO})), 0)::BIGINT AS tokens FROM parts WHERE low < 50000) SELECT tokens, tokens // {SHARD} AS shards, tokens % {SHARD} AS buffer, tokens >= 50000 AS reached FROM t")
-def token_budget(spark, sf_dir, *limits):
-    return tokenizing.budget(tokenizing.placed(encoded(spark, sf_dir, *limits), "source", "doc_id"), SHARD, IO, 50_000, "source")
-
-
-def _whole_texts(name: str) -> None:
-    @_query(f"{name}_whole", ORACLES[name].replace(TOKEN_SQL, token_sql(*WHOLE)))
-    def whole(spark, sf_dir):
-        return QUERIES[name](spark, sf_dir, *WHOLE)
-
-
-for _name in ("token_counts", "token_chunks", "token_counters", "token_shards", "token_shard_sums", "token_budget"):
-    _whole_texts(_name)
+def token_budget(spark, sf_dir):
+    return tokenizing.budget(tokenizing.placed(encoded(spark, sf_dir), "source", "doc_id"), SHARD, IO, 50_000, "source")
 
 
 RUN = {

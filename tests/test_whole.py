@@ -14,13 +14,13 @@ def documents(spark, folder):
 
 def test_whole_texts_are_tokenized(spark, tmp_path):
     n = documents(spark, tmp_path)
-    rows = QUERIES["token_counts_whole"](spark, str(tmp_path)).collect()
+    rows = QUERIES["token_counts"](spark, str(tmp_path)).collect()
     assert {r.doc_id: (r.n_ids, r.length) for r in rows} == {k: (w, w + -(-w // 8192)) for k, w in n.items()}
     total = sum(w + -(-w // 8192) for w in n.values())
-    assert QUERIES["token_counters_whole"](spark, str(tmp_path)).first().tokens == total
-    assert sum(r.n_tokens for r in QUERIES["token_shard_sums_whole"](spark, str(tmp_path)).collect()) == total
-    assert sum(r.n for r in QUERIES["token_shards_whole"](spark, str(tmp_path)).collect()) == total
-    streams = {r.doc_id: r.stream.split() for r in QUERIES["token_chunks_whole"](spark, str(tmp_path)).collect()}
+    assert QUERIES["token_counters"](spark, str(tmp_path)).first().tokens == total
+    assert sum(r.n_tokens for r in QUERIES["token_shard_sums"](spark, str(tmp_path)).collect()) == total
+    assert sum(r.n for r in QUERIES["token_shards"](spark, str(tmp_path)).collect()) == total
+    streams = {r.doc_id: r.stream.split() for r in QUERIES["token_chunks"](spark, str(tmp_path)).collect()}
     assert all(sum(x != str(EOS) for x in streams[k]) == w for k, w in n.items())
 
 
