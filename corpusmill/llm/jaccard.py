@@ -9,14 +9,14 @@ the first k + c shingles of both, k = size // 4, have at least c in common, for
   a set in as many lists as the smaller c of both; light sets large enough to match a heavy one enter those lists as well.
 * The boundary is where the estimated cost is least: the number of subsets against list entries times the mean length of a list.
 
-Sets that are equal are one class, known by a hash of 64 bits that a second one of 64 bits guards, before anything is joined. In a key's list, two classes are candidates only
-if their sizes and the positions of the key leave room for the similarity. Short lists give all their candidates. A long list
-counts each class's next few neighbours first; after these are verified and linked into components, its classes meet a few hubs of
-the list for some rounds, which links most of a large group. Then the classes that are not in the list's largest component meet all
-classes of other components, in salted parts of the list, and give the rest, but for those whose signatures differ too much for the
-similarity. So large groups of near copies never emit all
-pairs, and no link that could join two components is left out. Candidates are verified exactly on the sets, of whose hashes
-48 bits are moved: sets of n and m shingles gain a common one by chance in n * m / 2**48 of the cases.
+Sets that are equal are one class, known by a hash of 64 bits that a second one of 64 bits guards, before anything is joined.
+In a key's list, two classes are candidates only if their sizes and the positions of the key leave room for the similarity.
+Short lists give all their candidates. A long list counts each class's next few neighbours first; after these are verified and
+linked into components, its classes meet a few hubs of the list for some rounds, which links most of a large group. Then the
+classes that are not in the list's largest component meet all classes of other components, in salted parts of the list, and
+give the rest, but for those whose signatures differ too much for the similarity. So large groups of near copies never emit all
+pairs, and no link that could join two components is left out. Candidates are verified exactly on the sets, of whose hashes 48
+bits are moved: sets of n and m shingles gain a common one by chance in n * m / 2**48 of the cases.
 
 Defined results: null or empty text, or text of blanks, has an empty set and links with nothing; rows with equal texts are linked;
 a null doc_id has itself as component unless it is linked with others; an empty table gives an empty result.
