@@ -13,8 +13,9 @@ Sets that are equal are one class, known by a hash of 64 bits that a second one
 In a key's list, two classes are candidates only if their sizes and the positions of the key leave room for the similarity.
 Short lists give all their candidates. A long list counts each class's next few neighbours first; after these are verified and
 linked into components, its classes meet a few hubs of the list for some rounds, which links most of a large group. Then the
-classes that are not in the list's largest component meet all classes of other components, in salted parts of the list, and
-give the rest, but for those whose signatures differ too much for the similarity. So large groups of near copies never emit all
+classes that are not in the list's largest component meet all classes of other components, and give the rest, but for those
+whose signatures differ too much for the similarity. For this, lists of the same largest component are one group, in which two
+classes meet once, with all the keys that they share, and not once in each list. So large groups of near copies never emit all
 pairs, and no link that could join two components is left out. Candidates are verified exactly on the sets, of whose hashes 48
 bits are moved: sets of n and m shingles gain a common one by chance in n * m / 2**48 of the cases.
 
@@ -30,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_batches, components, lookup, read_table, star, stored
@@ -51,7 +52,7 @@ SIGNATURE = 8
 SIGNS = [f"s{i}" for i in range(SIGNATURE)]
 #: Sum of the sizes from which on signatures tell nothing.
 TELLING = 7 * 16 * SIGNATURE
-#: Pairs of a long list's entries that are compared in one part of it.
+#: Pairs of a group's classes that are compared in one part of it.
 MEETING = 1 << 20
 #: Set in the place of a light key.
 LIGHT = 1 << 31
@@ -363,6 +364,11 @@ def verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
         return stored(joined.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long"), "jaccard-links")
 
 
+def _bits(x: str, y: str) -> Column:
+    """In how many bits the signatures of x and y differ."""
+    return sum((F.bit_count(F.col(x + c).bitwiseXOR(F.col(y + c))) for c in SIGNS[1:]), F.bit_count(F.col(x + SIGNS[0]).bitwiseXOR(F.col(y + SIGNS[0]))))
+
+
 def _room_of(x: str, y: str) -> tuple:
     """For entries x and y of a list: whether places and signatures leave room for the similarity, in how many lists they must meet,
     the weight of this one, and whether signatures can tell such sizes apart.
@@ -373,8 +379,7 @@ def _room_of(x: str, y: str) -> tuple:
     at_x, at_y = F.col(f"{x}place").bitwiseAND(LIGHT - 1), F.col(f"{y}place").bitwiseAND(LIGHT - 1)
     light = F.col(f"{x}place").bitwiseAND(LIGHT) > 0
     needed = F.lit(1) + F.floor(F.least(size_x, size_y) / 16)
-    bits = sum((F.bit_count(F.col(x + c).bitwiseXOR(F.col(y + c))) for c in SIGNS[1:]), F.bit_count(F.col(x + SIGNS[0]).bitwiseXOR(F.col(y + SIGNS[0]))))
-    room = (7 * (F.least(size_x - at_x, size_y - at_y) + F.when(light, 0).otherwise(needed - 1)) >= 3 * (size_x + size_y)) & (7 * bits <= size_x + size_y)
+    room = (7 * (F.least(size_x - at_x, size_y - at_y) + F.when(light, 0).otherwise(needed - 1)) >= 3 * (size_x + size_y)) & (7 * _bits(x, y) <= size_x + size_y)
     return room, needed, F.when(light, LIGHT).otherwise(1), size_x + size_y < TELLING
 
 
@@ -401,6 +406,50 @@ def _at_hubs(rest: DataFrame, turn: int) -> DataFrame:
     return met.groupBy("a", "b").agg(F.sum("weight").alias("weight"), F.max("needed").alias("needed")).where("weight >= needed").select("a", "b")
 
 
+def _groups(rest: DataFrame) -> DataFrame:
+    """Entries of lists (key, fp, place, signature, component, largest: the list's largest component, apart: whether the entry is of
+    another one) as a row for each class and group of lists: g, light, fp, size, signature, component, apart, at and keys, in order.
+
+    Lists with the same largest component are one group; but where its classes make more pairs than those of each list added up,
+    as the lists have little else in common, each of them is a group.
+    """
+    light, at = F.col("place").bitwiseAND(LIGHT) > 0, F.col("place").bitwiseAND(LIGHT - 1).cast("int")
+    rest = rest.withColumn("light", light).withColumn("g", F.xxhash64("largest", "light"))
+    lists = rest.groupBy("g", "key").agg((F.count("*") * F.count_if("apart")).alias("pairs")).groupBy("g").agg(F.sum("pairs").alias("pairs"))
+    same = [F.first(c).alias(c) for c in (*SIGNS, "component", "apart")]
+    classes = rest.groupBy("g", "light", "fp").agg(F.shiftright(F.first("place"), 32).alias("size"), *same, F.sort_array(F.collect_list(F.struct(at.alias("at"), "key"))).alias("entries"))
+    classes = stored(classes, "jaccard-classed")
+    wide = classes.groupBy("g").agg(F.count("*").alias("n"), F.count_if("apart").alias("m")).join(lists, "g").where("n * m > pairs").select("g", "n", F.lit(True).alias("wide"))
+    each = F.transform("entries", lambda e: F.struct(e["key"].alias("g"), F.array(e).alias("entries")))
+    classes = lookup(classes, stored(wide, "jaccard-wide"), "g", "n").withColumn("of", F.explode(F.when(F.col("wide"), each).otherwise(F.array(F.struct("g", "entries")))))
+    return classes.select("of.g", "light", "fp", "size", *SIGNS, "component", "apart", F.col("of.entries.at").alias("at"), F.col("of.entries.key").alias("keys"))
+
+
+def _meetings(rest: DataFrame) -> DataFrame:
+    """a, b, the weight needed and that of the keys that they share in a group, of the rows of groups that are of different
+    components, one at least apart, and whose signatures are near. A large group is cut in parts of at most about MEETING pairs."""
+    crowd = rest.groupBy("g").agg(F.ceil(F.sqrt(F.count_if("apart") * F.count("*") / MEETING)).cast("int").alias("side"), F.count("*").alias("n")).where("side > 1")
+    rest = lookup(rest, stored(crowd, "jaccard-crowd"), "g", "n").withColumn("side", F.coalesce("side", F.lit(1)))
+    own, other = F.pmod(F.xxhash64("fp"), F.col("side")).cast("int"), F.sequence(F.lit(0), F.col("side") - 1)
+    x = rest.where("apart").withColumn("part", F.explode(F.transform(other, lambda k: own * F.col("side") + k))).alias("x")
+    y = rest.withColumn("part", F.explode(F.transform(other, lambda k: k * F.col("side") + own))).alias("y")
+    both = F.col("x.size") + F.col("y.size")
+    needed = F.lit(1) + F.floor(F.least("x.size", "y.size") / 16)
+
+    def early(side: str) -> Column:
+        """The keys whose places leave room for the similarity, see _room()."""
+        last = 7 * (F.col(f"{side}.size") + F.when(F.col("x.light"), 0).otherwise(needed - 1)) - 3 * both
+        return F.slice(f"{side}.keys", F.lit(1), F.size(F.filter(f"{side}.at", lambda k: 7 * k <= last)))
+
+    same = (F.col("x.g") == F.col("y.g")) & (F.col("x.light") == F.col("y.light")) & (F.col("x.part") == F.col("y.part"))
+    apart = (F.col("x.component") != F.col("y.component")) & (~F.col("y.apart") | (F.col("x.fp") < F.col("y.fp")))
+    # x, of which a part has few rows, is the side that a merge join holds in memory
+    near = (4 * F.least("x.size", "y.size") >= 3 * F.greatest("x.size", "y.size")) & (7 * _bits("x.", "y.") <= both)
+    met = y.join(x, same & apart & near)
+    weight = F.size(F.array_intersect(early("x"), early("y"))).cast("long") * F.when(F.col("x.light"), LIGHT).otherwise(1)
+    return met.select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b"), needed.alias("needed"), weight.alias("weight"))
+
+
 def boundary_of(sizes: list[tuple[int, int]], list_length: float) -> int:
     """The size up to which sets are light: sizes are (size, number of classes)."""
 
@@ -447,16 +496,10 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
             forest = star(forest, "jaccard-edges", STEPS)
             forest = forest.unionByName(verified(sets, stored(_at_hubs(_open(long, forest, turn), turn), "jaccard-more")))
         forest = star(forest, "jaccard-edges")
-        # pairs between components, of which one at least is not the list's largest; parts of a long list meet in tasks of their own
-        rest = stored(_open(long, forest, ROUNDS).withColumn("apart", F.col("component") != F.col("p.component")).drop("p", "r"), "jaccard-rest")
-        crowd = stored(rest.groupBy("key").agg(F.ceil(F.count_if("apart") * F.count("*") / MEETING).cast("int").alias("parts"), F.lit(1).alias("n")).where("parts > 1"), "jaccard-crowd")
-        rest = lookup(rest.drop("n"), crowd, "key", "n").withColumn("parts", F.coalesce("parts", F.lit(1)))
-        x = rest.where("apart").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("x")
-        y = rest.withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")).alias("y")
-        room, needed, weight, _ = _room_of("x.", "y.")
-        same = (F.col("x.key") == F.col("y.key")) & (F.col("x.part") == F.col("y.part"))
-        again = x.join(y, same & (~F.col("y.apart") | (F.col("x.fp") < F.col("y.fp"))) & (F.col("x.component") != F.col("y.component")) & room)
-        again = again.select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b"), needed.alias("needed"), weight.alias("weight"))
+        # pairs between components, of which one at least is not the list's largest
+        rest = _open(long, forest, 0).withColumn("largest", F.col("p.component")).drop("p", "r")
+        rest = stored(rest.withColumn("apart", F.col("component") != F.col("largest")), "jaccard-rest")
+        again = _meetings(stored(_groups(rest), "jaccard-groups"))
         again = again.groupBy("a", "b").agg(F.sum("weight").alias("more"), F.max("needed").alias("needed"))
         # the lists that were counted before may count twice; that only adds candidates
         open_pairs = again.join(met.select("a", "b", "weight"), ["a", "b"], "left").where("coalesce(weight, 0) < needed and more + coalesce(weight, 0) >= needed")
