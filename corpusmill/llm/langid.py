@@ -6,8 +6,8 @@ bits, of the bit's weight (from its training error) times the logistic loss of t
 the language with the least loss wins. The text is ambiguous if the two nearest codewords' losses hardly differ.
 
 Training takes a bounded sample, chosen by hash, so that reruns agree: about `per_language` labelled rows of each language, fewer if
-they are so many that this makes more than `MOST_ROWS`, and of more than `MOST_LANGUAGES` languages the most frequent ones. The
-model is fitted on the driver. Prediction covers every row.
+they are so many that this makes more than `MOST_ROWS`, and of more than `MOST_LANGUAGES` languages the most frequent ones. One
+task gathers the sample and fits the model; only the model reaches the driver. Prediction covers every row.
 
 Defined results: null text, or text without a letter, is `und` with score 0 and not ambiguous; without any labelled row every
 text is `und`; with one language every text that has a letter gets it with score 1; repeated rows are predicted alike.
@@ -16,18 +16,20 @@ text is `und`; with one language every text that has a letter gets it with score
 from __future__ import annotations
 
 import itertools
+import pickle
 import re
 import sys
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import read_table, without
+from .common import arrow_batches, read_table, without
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -35,6 +37,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BITS, PER_LANGUAGE, NEAR = 16, 1000, 0.02
 #: Bounds of the sample: languages, and rows in all (of 8 kB at most).
 MOST_LANGUAGES, MOST_ROWS = 256, 8000
+#: Bytes of texts, or of their features, that a task hands to Python at once.
+BATCH = "4m"
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -68,7 +72,7 @@ def packed(f: np.ndarray) -> bytes:
 
 
 def unpacked(bits: bytes) -> np.ndarray:
-    return np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8))).astype(np.int32)
+    return np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8)).view(bool))
 
 
 def codewords(n: int) -> np.ndarray:
@@ -84,8 +88,9 @@ def codewords(n: int) -> np.ndarray:
     return min((rng.choice((-1.0, 1.0), (n, bits)) for _ in range(50)), key=distance)
 
 
-def fit(rows: list[tuple[str, np.ndarray]], epochs: int = 6) -> Model:
-    """rows: language and features. One logistic classifier for each bit, by AdaGrad; languages count alike."""
+def fit(rows: list[tuple[str, bytes]], epochs: int = 6) -> Model:
+    """rows: language and features as bits, which are unpacked one row at a time. One logistic classifier for each bit, by AdaGrad;
+    languages count alike."""
     languages = sorted({lang for lang, _ in rows})
     codes = codewords(len(languages)) if languages else np.zeros((0, 1))
     bits = codes.shape[1]
@@ -96,7 +101,7 @@ def fit(rows: list[tuple[str, np.ndarray]], epochs: int = 6) -> Model:
     rng = np.random.default_rng(7)
     for _ in range(epochs if len(languages) > 1 else 0):
         for i in rng.permutation(len(rows)):
-            lang, f = rows[i]
+            lang, f = rows[i][0], unpacked(rows[i][1])
             x = 1 / np.sqrt(max(1, len(f)))
             y = codes[where[lang]]
             margin = w[f].sum(0) * x + b
@@ -105,7 +110,8 @@ def fit(rows: list[tuple[str, np.ndarray]], epochs: int = 6) -> Model:
             w[f] -= (0.5 * x / np.sqrt(g2[f]))[:, None] * grad
             b -= 0.05 * grad
     wrong = np.full(bits, 0.5)
-    for lang, f in rows:
+    for lang, bits_ in rows:
+        f = unpacked(bits_)
         margin = w[f].sum(0) / np.sqrt(max(1, len(f))) + b
         wrong += codes[where[lang]] * margin <= 0
     error = np.clip(wrong / (len(rows) + 1), 1e-3, 0.499)
@@ -132,7 +138,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
-    """A model from the rows that are not held out. Only features, at most 8 kB a row, reach the driver."""
+    """A model from the rows that are not held out. Their features, at most 8 kB a row, meet in one task, which fits it."""
     docs = docs.select(doc_id, text, lang)
     known = docs.where(~held_out(F.col(doc_id)) & F.col(lang).isNotNull() & F.col(text).isNotNull())
     counts = known.groupBy(F.col(lang).alias("_lang")).agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "_lang").limit(MOST_LANGUAGES).collect()
@@ -146,8 +152,15 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
             p = p[[bool(LETTER.search(t)) for t in p["text"]]] if len(p) else p
             yield pd.DataFrame({"lang": p["lang"], "id": p["id"], "f": pd.Series([packed(features(t)) for t in p["text"]], index=p.index, dtype=object)})
 
-    rows = chosen.select(F.col(lang).cast("string").alias("lang"), F.col(doc_id).cast("string").alias("id"), F.col(text).alias("text")).mapInPandas(featured, "lang string, id string, f binary").collect()
-    return fit([(r.lang, unpacked(r.f)) for r in sorted(rows, key=lambda r: (r.lang, r.id or "", bytes(r.f)))])
+    def fitted(batches):
+        rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("lang", "id", "f")), strict=True)]
+        model = fit([(lang, f) for lang, _, f in sorted(rows, key=lambda r: (r[0], r[1] or "", r[2]))])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(tuple(model))], pa.binary())], names=["model"])
+
+    with arrow_batches(docs.sparkSession, BATCH):
+        rows = chosen.select(F.col(lang).cast("string").alias("lang"), F.col(doc_id).cast("string").alias("id"), F.col(text).alias("text")).mapInPandas(featured, "lang string, id string, f binary")
+        made = rows.repartition(1).mapInArrow(fitted, "model binary").collect()
+    return Model(*pickle.loads(made[0].model)) if made else fit([])  # of no rows Spark may make no task
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
