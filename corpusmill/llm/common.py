@@ -51,6 +51,19 @@ def measured(df: DataFrame, label: str, *measures: Column) -> tuple[DataFrame, R
     return out, Row(*[seen.get[f"m{k}"] for k in range(len(measures))])
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of a query go as soon as it has ended, not when the driver happens to collect its garbage. For
+    queries that are run once each, as stored() runs them: a DataFrame that is run again has its lost stages run again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 @contextmanager
 def arrow_batches(spark: SparkSession, size: str) -> Iterator[None]:
     """Within it, jobs hand Python workers batches of about `size` (or of one row), so that long values do not add up in memory."""

@@ -34,7 +34,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, components, lookup, read_table, star, stored
+from .common import arrow_batches, components, lookup, read_table, shuffles_freed, star, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -56,6 +56,8 @@ TELLING = 7 * 16 * SIGNATURE
 MEETING = 1 << 20
 #: Set in the place of a light key.
 LIGHT = 1 << 31
+#: The bits of a key that are moved; lists of keys that agree in them are one, which only adds candidates.
+KEY = (1 << 48) - 1
 #: Candidate classes that are broadcast as a sorted array, to keep other sets from being shuffled.
 PREFILTER = 1 << 20
 #: Bytes of texts or sets that a task hands to Python at once, shingles that it counts at once, classes that it remembers.
@@ -204,8 +206,18 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _packed(keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and places as they are moved: the lower KEY bits of the key below the lower 16 bits of its place; and the place's rest,
+    the size lowest. So the bytes in which a class's rows differ lie side by side, and a shuffle can compress the others."""
+    return (keys & np.uint64(KEY) | places.astype(np.uint64) << np.uint64(48)).view(np.int64), (places >> 32) + ((places >> 16 & 0xFFFF) << 32)
+
+
+def _unpacked(moved: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return moved & KEY, ((rest & 0xFFFFFFFF) << 32) + (rest >> 32 << 16) + (moved >> 48 & 0xFFFF)
+
+
 def _keys(shared, boundary: int):
-    """Rows key, fp, place (size, whether a light key, and position of the key), for each class once in a task."""
+    """Rows fp, key, place (size, whether a light key, and position of the key), packed, for each class once in a task."""
 
     def run(batches):
         _lean()
@@ -236,7 +248,7 @@ def _keys(shared, boundary: int):
                     places.append((n << 32) + np.arange(k + c))
                 fps.append(np.full(len(keys[-1]) + (len(keys[-2]) if n <= boundary and 4 * n > 3 * boundary else 0), fp, np.int64))
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(fps)), pa.array(np.concatenate(places).astype(np.int64))], names=["key", "fp", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(fps)), *map(pa.array, _packed(np.concatenate(keys), np.concatenate(places).astype(np.int64)))], names=["fp", "key", "rest"])
 
     return run
 
@@ -254,7 +266,7 @@ def _room(pa_: np.ndarray, pb: np.ndarray) -> np.ndarray:
 
 
 def _lists(batches):
-    """Sorted rows of keys in; meetings (kind 0: a, b, their weight, place = the weight needed) and rows of long lists (kind 1: a =
+    """Sorted packed rows of keys in; meetings (kind 0: a, b, their weight, place = the weight needed) and rows of long lists (kind 1: a =
     key, b = fp, place) out. A light key alone is enough."""
     _lean()
     held = np.zeros((3, 0), np.int64)
@@ -290,7 +302,9 @@ def _lists(batches):
         )
 
     for batch in batches:
-        new = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "fp", "place")])
+        fp, moved, rest = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("fp", "key", "rest"))
+        key, place = _unpacked(moved, rest)
+        new = np.stack([key, fp, place])
         held = np.concatenate([held, new], 1)
         stop = held.shape[1] - look
         if stop > done:
@@ -346,13 +360,20 @@ def _verify(batches):
 
 
 def sets_of(texts: DataFrame, wanted: DataFrame, order) -> DataFrame:
-    """fp, bin (its shingles), signature of each class in wanted (fp), stored."""
+    """fp, bin (its shingles), signature of each class in wanted (fp). The sets are stored where they are made, and not shuffled:
+    of a class that several tasks have made one row counts."""
     spark = texts.sparkSession
     shared, wanted = None, stored(wanted.distinct(), "jaccard-wanted")
     if wanted.count() <= PREFILTER:
         shared = spark.sparkContext.broadcast(np.sort(np.array([r.fp for r in wanted.toLocalIterator()], np.int64)))
     with arrow_batches(spark, BATCH):
-        return stored(texts.mapInArrow(_sets(shared, order), f"fp long, bin binary, {', '.join(f'{c} long' for c in SIGNS)}").groupBy("fp").agg(*[F.first(c).alias(c) for c in ("bin", *SIGNS)]), "jaccard-sets")
+        made = texts.mapInArrow(_sets(shared, order), f"fp long, bin binary, {', '.join(f'{c} long' for c in SIGNS)}")
+        made = stored(made.withColumn("row", F.monotonically_increasing_id()), "jaccard-sets")
+    again = made.groupBy("fp").agg(F.sort_array(F.collect_list("row")).alias("rows")).where(F.size("rows") > 1)
+    again = stored(again.select(F.explode(F.slice("rows", 2, F.size("rows"))).alias("row")), "jaccard-again")
+    if again.count() <= PREFILTER:
+        return made.join(F.broadcast(again), "row", "left_anti").drop("row")
+    return stored(made.groupBy("fp").agg(*[F.first(c).alias(c) for c in ("bin", *SIGNS)]), "jaccard-sets")
 
 
 def verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -460,17 +481,16 @@ def boundary_of(sizes: list[tuple[int, int]], list_length: float) -> int:
     return min(LIMITS, key=lambda limit: (cost(limit), limit))
 
 
-def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id for each row."""
-    spark = docs.sparkSession
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+def _told(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows (doc_id, n, fp of its class), and of each class whose rows learn something new (fp) n, its rows, and component_id."""
+    spark = texts.sparkSession
     kind = texts.schema["doc_id"].dataType
     from pyspark.sql.pandas.types import to_arrow_type
 
     with arrow_batches(spark, BATCH):
         told = stored(texts.mapInArrow(_describe(to_arrow_type(kind)), f"kind tinyint, doc_id {kind.simpleString()}, n long, fp long, fp2 long"), "jaccard-docs")
     # unequal sets of one fingerprint: about (classes ** 2) / 2 ** 65 of them
-    collided = [r.fp for r in told.where("kind = 0 and fp is not null").groupBy("fp").agg(F.min("fp2").alias("x"), F.max("fp2").alias("y")).where("x <> y").select("fp").toLocalIterator()]
+    collided = [r.fp for r in told.where("kind = 0 and fp is not null").groupBy("fp").agg(F.min("fp2").alias("x"), F.max("fp2").alias("y")).where("x <> y").select("fp").collect()]
     rows = told.where("kind = 0").withColumn("fp", F.when(F.col("fp").isin(collided), F.col("fp2")).otherwise(F.col("fp")) if collided else F.col("fp"))
     frequent = told.where("kind = 1").groupBy("fp").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "fp").limit(MOST).collect()
     values = np.array([r.fp for r in frequent], np.int64).view(np.uint64)
@@ -481,9 +501,9 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     sizes = [(r.n, r.c) for r in rows.where("n > 1").groupBy(width).agg(F.approx_count_distinct("fp").alias("c")).collect()]
     total, weighted = sum(c * n for n, c in sizes), sum(float(r.n) * r.n for r in frequent)
     boundary = boundary_of(sizes, 1 + weighted / max(1, total))
-    keys = texts.mapInArrow(_keys(shared, boundary), "key long, fp long, place long")
+    keys, key = texts.mapInArrow(_keys(shared, boundary), "fp long, key long, rest long"), F.col("key").bitwiseAND(KEY)
     with arrow_batches(spark, BATCH):
-        listed = stored(keys.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_lists, "kind tinyint, a long, b long, place long, weight long"), "jaccard-lists")
+        listed = stored(keys.repartition(key).sortWithinPartitions(key, "fp").mapInArrow(_lists, "kind tinyint, a long, b long, place long, weight long"), "jaccard-lists")
     met = stored(listed.where("kind = 0").groupBy("a", "b").agg(F.sum("weight").alias("weight"), F.max("place").alias("needed")), "jaccard-met")
     long = stored(listed.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("fp"), "place").distinct(), "jaccard-long")
     pairs = met.where("weight >= needed").select("a", "b")
@@ -510,7 +530,13 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     lowest = joined.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("m"))
     told_by_class = lookup(joined, stored(lowest.where("m > 1"), "jaccard-lowest"), "component", "m").select("fp", "n", F.coalesce("component_id", "least").alias("component_id"), (F.col("n") > 1).alias("many"))
     # only classes of several rows, or linked with others, tell a row something new
-    news = stored(told_by_class.join(joined.select("fp", "least"), "fp").where("many or not (component_id <=> least)").select("fp", "n", "component_id"), "jaccard-told")
+    return rows, stored(told_by_class.join(joined.select("fp", "least"), "fp").where("many or not (component_id <=> least)").select("fp", "n", "component_id"), "jaccard-told")
+
+
+def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id for each row."""
+    with shuffles_freed(docs.sparkSession):
+        rows, news = _told(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
     out = lookup(rows.select("doc_id", F.col("n").alias("n_shingles"), "fp"), news, "fp", "n")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
